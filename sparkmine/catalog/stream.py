@@ -137,7 +137,7 @@ QUERIES = {
 
 def _probe_sql(key: str) -> str:
     first, second = _HASH.format(x=f"CAST({key} AS VARCHAR)"), _HASH.format(x=f"'+' || {key}")
-    return f"unnest([({first} + i * {second}) % (SELECT n FROM size) FOR i IN [0, 1, 2]])"
+    return f"({first} + probe * {second}) % n_bits"
 
 
 SQL = {
@@ -158,9 +158,10 @@ round(avg(length(text)), 6) AS avg_length FROM sample""",
     "stream_bloom_report": f"WITH {BLOOM} {_SCORE}",
     "bloom_probe_filter": f"""WITH urgent AS (
   SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'),
-size AS (SELECT greatest(64, CAST(ceil(-count(*) * ln({PROBE_FPP}::DOUBLE) / (ln(2) * ln(2))) AS BIGINT)) AS n FROM urgent),
-bits AS (SELECT DISTINCT {_probe_sql("k")} AS spot FROM urgent),
-probes AS (SELECT c_custkey, c_name, {_probe_sql("c_custkey")} AS spot FROM customer)
+size AS (SELECT greatest(64, CAST(ceil(-count(*) * ln({PROBE_FPP}::DOUBLE) / (ln(2) * ln(2))) AS BIGINT)) AS n_bits FROM urgent),
+each AS (SELECT n_bits, unnest([0, 1, 2]) AS probe FROM size),
+bits AS (SELECT DISTINCT {_probe_sql("k")} AS spot FROM urgent, each),
+probes AS (SELECT c_custkey, c_name, {_probe_sql("c_custkey")} AS spot FROM customer, each)
 SELECT c_custkey, c_name FROM probes GROUP BY 1, 2
 HAVING bool_and(spot IN (SELECT spot FROM bits))""",
 }
