@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmine.functions.text import tokens
 from sparkmine.operators import itemsets
 from sparkmine.plans.workspace import materialize, new_path
 from sparkmine.sources import fixtures as fx
 from sparkmine.sources import readers
 
-SUPPORT_SHARE = 0.3
+SUPPORT_SHARE = "0.3"
 MAX_LEN = 3
 
 WORDS = """words AS (
@@ -38,13 +42,14 @@ found AS (
   UNION ALL SELECT concat_ws(',', i1, i2, i3), 3, freq FROM three)"""
 
 
-def _support(baskets: DataFrame) -> int:
-    return baskets.select(F.ceil(F.lit(SUPPORT_SHARE) * F.countDistinct("basket"))).first()[0]
+def _support(spark: SparkSession, sf_dir: str) -> int:
+    """Support threshold: a fixed share of the documents with any word."""
+    n = fx.docs(spark, sf_dir).filter(F.size(tokens("text")) > 0).count()
+    return math.ceil(Fraction(SUPPORT_SHARE) * n)
 
 
 def _found(spark: SparkSession, sf_dir: str, max_len: int = MAX_LEN, method: str = "auto") -> DataFrame:
-    baskets = materialize(itemsets.basket_dedup(fx.baskets(spark, sf_dir)), "words")
-    return itemsets.frequent_itemsets(baskets, _support(baskets), max_len, method)
+    return itemsets.frequent_itemsets(fx.baskets(spark, sf_dir), _support(spark, sf_dir), max_len, method)
 
 
 def _joined(sets: DataFrame) -> DataFrame:
@@ -85,7 +90,7 @@ def itemsets_fpgrowth(spark: SparkSession, sf_dir: str) -> DataFrame:
 def itemset_support_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many baskets hold each joined candidate of three items, frequent or not."""
     baskets = materialize(itemsets.basket_dedup(fx.baskets(spark, sf_dir)), "words")
-    pairs = itemsets.frequent_itemsets(baskets, _support(baskets), 2).filter("size = 2")
+    pairs = itemsets.frequent_itemsets(baskets, _support(spark, sf_dir), 2).filter("size = 2")
     cands = itemsets.candidates(pairs.select("items"))
     return _joined(itemsets.support_count(baskets, cands))
 

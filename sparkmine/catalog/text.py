@@ -94,12 +94,12 @@ def fn_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def txt_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.term_frequency(text.tokenize(fx.docs(spark, sf_dir)))
+    return text.document_tf(fx.docs(spark, sf_dir))
 
 
 def _tf_and_size(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     docs = fx.docs(spark, sf_dir)
-    return text.term_frequency(text.tokenize(docs)), docs.count()
+    return text.document_tf(docs), docs.count()
 
 
 def txt_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,14 +159,14 @@ def kmeans_lloyd_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tf = text.term_frequency(text.tokenize(fx.docs(spark, sf_dir)))
+    tf = text.document_tf(fx.docs(spark, sf_dir))
     top = cluster.top_terms(_clustered_docs(spark, sf_dir, "tf"), tf)
     return top.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def rpt_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report with its clusters listed one per row."""
-    tf = text.term_frequency(text.tokenize(fx.docs(spark, sf_dir)))
+    tf = text.document_tf(fx.docs(spark, sf_dir))
     report = cluster.cluster_report(_clustered_docs(spark, sf_dir, "tfidf"), tf, "K-means")
     rows = report.select("algorithm", "wssse", F.explode("clusters").alias("c"))
     return rows.select(

@@ -17,6 +17,15 @@ NUM_FEATURES = 1 << 20  # fixed value: width of the hashed vectors
 BROADCAST_ROWS = 1 << 22  # widest feature space whose weights are broadcast
 
 
+def by_document(docs: DataFrame) -> DataFrame:
+    """Documents dealt out by id while they are still one row each.
+
+    A text is smaller than the rows its words become, and every later step
+    that groups by document and word, or by document, finds its rows in place.
+    """
+    return docs.repartition("doc_id")
+
+
 def tokenize(docs: DataFrame) -> DataFrame:
     """One row per word occurrence: ``(doc_id, pos, term)``."""
     return docs.select("doc_id", F.posexplode(tokens("text")).alias("pos", "term"))
@@ -27,6 +36,11 @@ def term_frequency(words: DataFrame) -> DataFrame:
     return words.groupBy("doc_id", "term").agg(F.count("*").cast("double").alias("weight"))
 
 
+def document_tf(docs: DataFrame) -> DataFrame:
+    """Word frequencies straight from the documents."""
+    return term_frequency(tokenize(by_document(docs)))
+
+
 def idf(tf: DataFrame, n_docs: int, key: str = "term") -> DataFrame:
     """Inverse document frequency ln((n+1)/(df+1)) per word."""
     return tf.groupBy(key).agg(F.count("*").alias("df")).withColumn("idf", _idf(n_docs))
@@ -49,14 +63,13 @@ def vectorize(docs: DataFrame, features: str = "tf", num_features: int = NUM_FEA
     kind = features.lower()
     if kind not in ("tf", "tfidf"):
         raise ValueError(f"unknown features {features!r}")
-    words = docs.select("doc_id", F.explode_outer(tokens("text")).alias("term"))
+    words = by_document(docs).select("doc_id", F.explode_outer(tokens("text")).alias("term"))
     # A document without words keeps one row with a null slot.
     hashed = words.select("doc_id", slot(F.col("term"), num_features).cast("int").alias("slot"))
     tf = hashed.groupBy("doc_id", "slot").agg(F.count("*").cast("double").alias("weight"))
     if kind == "tfidf":
-        tf = materialize(tf, "tf")
-        n_docs = tf.select(F.countDistinct("doc_id")).first()[0]
-        weights = idf(tf.filter(F.col("slot").isNotNull()), n_docs, "slot").select("slot", "idf")
+        # Both uses of ``tf`` read the same exchange of the documents.
+        weights = idf(tf.filter(F.col("slot").isNotNull()), docs.count(), "slot").select("slot", "idf")
         if num_features <= BROADCAST_ROWS:  # at most one row per slot
             weights = F.broadcast(weights)
         tf = tf.join(weights, "slot", "left").select(
@@ -81,7 +94,7 @@ def ml_tfidf(docs: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
     Slots that are the same in every document, above all the unused ones, do
     not change any distance and are cut out: the solvers sum dense vectors.
     """
-    words = docs.select(F.col("doc_id").alias("id"), tokens("text").alias("words"))
+    words = by_document(docs).select(F.col("doc_id").alias("id"), tokens("text").alias("words"))
     tf = HashingTF(inputCol="words", outputCol="all", numFeatures=num_features).transform(words)
     used = VarianceThresholdSelector(featuresCol="all", outputCol="tf", varianceThreshold=0.0)
     tf = materialize(used.fit(tf).transform(tf).select("id", "tf"), "ml-tf")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.text import tokens
 from sparkmine.operators.ratings import dedup_last
+from sparkmine.operators.text import by_document
 
 SURVEY_SQL = """
 SELECT o.o_orderkey AS resp_id,
@@ -80,7 +81,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per word occurrence; repeated words are left in."""
-    return docs(spark, sf_dir).select(
+    return by_document(docs(spark, sf_dir)).select(
         F.col("doc_id").alias("basket"), F.explode(tokens("text")).alias("item")
     )
 
