@@ -85,7 +85,9 @@ def _sampled(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_reservoir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reservoir_stream.read_sample(spark, _sampled(spark, sf_dir)).select("id", "text", "n_seen")
+    path = _sampled(spark, sf_dir)
+    n_seen = reservoir_stream.posts_seen(spark, path)
+    return reservoir_stream.read_sample(spark, path).select("id", "text", F.lit(n_seen).cast("bigint").alias("n_seen"))
 
 
 def stream_hot_tags(spark: SparkSession, sf_dir: str) -> DataFrame:

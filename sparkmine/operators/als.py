@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 
 from sparkmine.operators.ratings import index_ids
+from sparkmine.plans.workspace import work_root
 
 # Model settings of the rating program.
 ALS_SETTINGS = {"rank": 2, "iters": 30, "reg": 0.28, "blocks": 4, "seed": 1}
@@ -46,6 +47,7 @@ def als_predict(
         coldStartStrategy="drop",
         checkpointInterval=CHECKPOINT_EVERY,
     )
+    work_root(train.sparkSession)  # the solver cuts its lineage there
     model = solver.fit(numbered(train).select("user", "item", "rating"))
     scored = model.transform(numbered(test))
     return scored.select("user_id", "item_id", "rating", scored["prediction"].cast("double").alias("prediction"))

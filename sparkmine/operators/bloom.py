@@ -1,14 +1,19 @@
 """Bloom filters: a "seen before" score over a stream of tags, and a reusable
 build / probe pair.
 
-The score needs no sequential pass. Bits are only ever switched on, and a tag
-that finds its bits on adds none, so the bits on before some position are the
-bits of all earlier tags. From the first position of every tag follow the
-first position of every bit, and from both the verdict on every tag:
-
-* all bits of the tag on before its first appearance: a false positive, every
-  time it appears, and it is never stored;
-* otherwise stored once, and recognised each later time.
+The score needs no sequential pass and no list of all tags. Tags that fall on
+the same slots form a class:
+
+* bits are only switched on, and a tag that finds its bits on adds none, so
+  the bits on before some position are the bits of all tags before it;
+* the first tag of a class therefore switches the class on, and every other tag
+  of the class, coming later, finds its bits on and is a false positive;
+* the first tag itself is stored unless other classes had switched both of its
+  bits on before.
+
+So a class is described by its first tag, that tag's position and count, and
+the count of all its tags. There are at most as many classes as combinations of
+slots, however many tags there are, and descriptions of parts merge.
 """
 
 from __future__ import annotations
@@ -35,39 +40,59 @@ def first_seen(df: DataFrame, tag: str = "tag", pos: str = "pos") -> DataFrame:
     return df.groupBy(F.col(tag).alias("tag")).agg(F.min(pos).alias("first_pos"), F.count("*").alias("n"))
 
 
-def judge(seen: DataFrame, m: tuple[int, ...] = SMALL_FILTER_SLOTS) -> DataFrame:
-    """Add ``false_positive`` to the rows of ``first_seen``.
+def slot_classes(
+    df: DataFrame, tag: str = "tag", pos: str = "pos", m: tuple[int, ...] = SMALL_FILTER_SLOTS
+) -> DataFrame:
+    """Describe each class of tags as ``(bits, first_tag, first_pos, n_first,
+    n_all)``. Tags are summed up on the map side before anything moves."""
+    return _classes(bloom_bits(first_seen(df, tag, pos), "tag", m).withColumn("n_all", F.col("n")))
+
+
+def merge_classes(
+    earlier: DataFrame, later: DataFrame, m: tuple[int, ...] = SMALL_FILTER_SLOTS
+) -> DataFrame:
+    """Classes of two parts of the tags, given the classes of the first part
+    and the tags ``(tag, pos)`` of the second."""
+    known = earlier.select(
+        F.col("first_tag").alias("tag"), "first_pos", F.col("n_first").alias("n"), "bits", "n_all"
+    )
+    new = bloom_bits(first_seen(later), "tag", m).withColumn("n_all", F.col("n"))
+    tags = known.unionByName(new).groupBy("bits", "tag").agg(
+        F.min("first_pos").alias("first_pos"), F.sum("n").alias("n"), F.sum("n_all").alias("n_all")
+    )
+    return _classes(tags)
+
 
-    The first position of each bit fits in one row of at most ``max(m)``
-    entries, which is what is broadcast.
+def _classes(tags: DataFrame) -> DataFrame:
+    first = F.min_by(F.struct("tag", "n"), "first_pos").alias("first")
+    classes = tags.groupBy("bits").agg(first, F.min("first_pos").alias("first_pos"), F.sum("n_all").alias("n_all"))
+    return classes.select(
+        "bits", F.col("first.tag").alias("first_tag"), "first_pos", F.col("first.n").alias("n_first"), "n_all"
+    )
+
+
+def bloom_score(classes: DataFrame, m: tuple[int, ...] = SMALL_FILTER_SLOTS) -> DataFrame:
+    """Stored tags, right and wrong "seen before" answers.
+
+    A bit's first position is that of the first class using it: at most
+    ``max(m)`` rows, which is what is broadcast.
     """
-    marked = bloom_bits(seen, "tag", m)
     first_bit = (
-        marked.select(F.explode("bits").alias("bit"), "first_pos")
+        classes.select(F.explode("bits").alias("bit"), "first_pos")
         .groupBy("bit")
         .agg(F.min("first_pos").alias("bit_pos"))
     )
-    verdict = marked.select("tag", "first_pos", "n", *[F.col("bits")[i].alias(f"b{i}") for i in range(len(m))])
-    early = F.lit(True)
+    judged, early = classes, F.lit(True)
     for i in range(len(m)):
         side = first_bit.select(F.col("bit").alias(f"b{i}"), F.col("bit_pos").alias(f"p{i}"))
-        verdict = verdict.join(F.broadcast(side), f"b{i}")
+        judged = judged.withColumn(f"b{i}", F.col("bits")[i]).join(F.broadcast(side), f"b{i}")
         early = early & (F.col(f"p{i}") < F.col("first_pos"))
-    return verdict.select("tag", "first_pos", "n", early.alias("false_positive"))
-
-
-def bloom_score(judged: DataFrame) -> DataFrame:
-    """Stored tags, right and wrong "seen before" answers."""
-    wrong = F.col("false_positive")
+    rest = F.col("n_all") - F.col("n_first")
     none = F.lit(0).cast("bigint")
-
-    def total(value, when):
-        return F.coalesce(F.sum(F.when(when, value)), none)
-
     return judged.agg(
-        total(F.lit(1), ~wrong).alias("unique_tags"),
-        total(F.col("n") - 1, ~wrong).alias("correct"),
-        total(F.col("n"), wrong).alias("incorrect"),
+        F.count_if(~early).alias("unique_tags"),
+        F.coalesce(F.sum(F.when(~early, F.col("n_first") - 1)), none).alias("correct"),
+        F.coalesce(F.sum(F.when(early, F.col("n_all")).otherwise(rest)), none).alias("incorrect"),
     )
 
 
@@ -76,7 +101,7 @@ def bloom_report(
 ) -> DataFrame:
     """Score of the small filter over all appearances in order of ``pos``,
     which must be unique."""
-    return bloom_score(judge(first_seen(df, tag, pos), m))
+    return bloom_score(slot_classes(df, tag, pos, m), m)
 
 
 def _probes(n_bits: int) -> list:

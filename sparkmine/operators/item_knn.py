@@ -55,19 +55,59 @@ def _long_users(train: DataFrame, light: int) -> DataFrame:
     return histories(train).filter(F.col("history") > light).select("user_id", "history")
 
 
-def _light_pairs(rows: DataFrame) -> DataFrame:
-    a = rows.select("user_id", F.col("item_id").alias("item_a"), F.col("rating").alias("x"))
-    b = rows.select("user_id", F.col("item_id").alias("item_b"), F.col("rating").alias("y"))
-    pairs = a.join(b, "user_id").filter(F.col("item_a") < F.col("item_b"))
-    return pairs.groupBy("item_a", "item_b").agg(*_sums(F.col("x"), F.col("y")))
+def _marked(train: DataFrame, targets: DataFrame | None) -> DataFrame:
+    """Ratings that can matter, with a mark on those of target items. An item
+    with a single rater cannot have two co-raters with any other item."""
+    raters = train.groupBy("item_id").agg(F.count("*").alias("raters")).filter("raters > 1").select("item_id")
+    if targets is None:
+        items = raters.withColumn("wanted", F.lit(True))
+    else:
+        wanted = targets.select("item_id").distinct().withColumn("wanted", F.lit(True))
+        items = raters.join(wanted, "item_id", "left").select(
+            "item_id", F.coalesce("wanted", F.lit(False)).alias("wanted")
+        )
+    return train.select("user_id", "item_id", "rating").join(items, "item_id")
+
+
+def _pair_sums(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+    """Sums over pairs of a target item and another item, each pair once."""
+    a = rows.filter("wanted").select(*on, F.col("item_id").alias("i"), F.col("rating").alias("ri"))
+    b = other.select(*on, F.col("item_id").alias("j"), F.col("rating").alias("rj"), "wanted")
+    pairs = a.join(b, on).filter((F.col("i") < F.col("j")) | (~F.col("wanted") & (F.col("i") > F.col("j"))))
+    ordered = F.col("i") < F.col("j")
+    return (
+        pairs.select(
+            F.least("i", "j").alias("item_a"),
+            F.greatest("i", "j").alias("item_b"),
+            F.when(ordered, F.col("ri")).otherwise(F.col("rj")).alias("x"),
+            F.when(ordered, F.col("rj")).otherwise(F.col("ri")).alias("y"),
+        )
+        .groupBy("item_a", "item_b")
+        .agg(*_sums(F.col("x"), F.col("y")))
+    )
 
 
 def _looked_up(wanted: DataFrame, rows: DataFrame) -> DataFrame:
-    """What the long histories add to pairs that are already known."""
-    a = rows.select("user_id", F.col("item_id").alias("item_a"), F.col("rating").alias("x"))
-    b = rows.select("user_id", F.col("item_id").alias("item_b"), F.col("rating").alias("y"))
-    hits = wanted.select("item_a", "item_b").join(a, "item_a").join(b, ["user_id", "item_b"])
-    return hits.groupBy("item_a", "item_b").agg(*_sums(F.col("x"), F.col("y")))
+    """What the long histories add to pairs that are already known. Each pair
+    starts from the item fewer long histories hold."""
+    holders = rows.groupBy("item_id").agg(F.count("*").alias("holders"))
+    for side in ("a", "b"):
+        named = holders.select(F.col("item_id").alias(f"item_{side}"), F.col("holders").alias(f"n_{side}"))
+        wanted = wanted.join(named, f"item_{side}")
+    from_a = F.col("n_a") <= F.col("n_b")
+    turned = wanted.select(
+        "item_a",
+        "item_b",
+        from_a.alias("from_a"),
+        F.when(from_a, F.col("item_a")).otherwise(F.col("item_b")).alias("near"),
+        F.when(from_a, F.col("item_b")).otherwise(F.col("item_a")).alias("far"),
+    )
+    near = rows.select("user_id", F.col("item_id").alias("near"), F.col("rating").alias("r_near"))
+    far = rows.select("user_id", F.col("item_id").alias("far"), F.col("rating").alias("r_far"))
+    hits = turned.join(near, "near").join(far, ["user_id", "far"])
+    x = F.when(F.col("from_a"), F.col("r_near")).otherwise(F.col("r_far"))
+    y = F.when(F.col("from_a"), F.col("r_far")).otherwise(F.col("r_near"))
+    return hits.groupBy("item_a", "item_b").agg(*_sums(x, y))
 
 
 def _long_pairs(rows: DataFrame, light: int) -> DataFrame:
@@ -81,26 +121,26 @@ def _long_pairs(rows: DataFrame, light: int) -> DataFrame:
     held = rows.join(shared, "item_id", "left_semi")
     chunks = held.groupBy("user_id").agg(F.ceil(F.count("*") / F.lit(light)).alias("chunks"))
     held = held.join(chunks, "user_id").withColumn("chunk", chunk_of(F.col("item_id"), F.col("chunks")))
-    others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
-    a = held.select(
-        "user_id", F.col("chunk").alias("ca"), others.alias("cb"), F.col("item_id").alias("item_a"), F.col("rating").alias("x")
-    )
-    b = held.select(
-        "user_id", others.alias("ca"), F.col("chunk").alias("cb"), F.col("item_id").alias("item_b"), F.col("rating").alias("y")
-    )
-    pairs = a.join(b, ["user_id", "ca", "cb"]).filter(F.col("item_a") < F.col("item_b"))
-    return pairs.groupBy("item_a", "item_b").agg(*_sums(F.col("x"), F.col("y"))).filter("n > 1")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    left = held.select("user_id", "item_id", "rating", "wanted", F.col("chunk").alias("ca"), every.alias("cb"))
+    right = held.select("user_id", "item_id", "rating", "wanted", every.alias("ca"), F.col("chunk").alias("cb"))
+    return _pair_sums(left, right, ["user_id", "ca", "cb"]).filter("n > 1")
 
 
-def co_rating_sums(train: DataFrame, light: int = LIGHT_HISTORY) -> DataFrame:
-    """Sums over the co-raters of every item pair with two or more of them."""
+def co_rating_sums(
+    train: DataFrame, light: int = LIGHT_HISTORY, targets: DataFrame | None = None
+) -> DataFrame:
+    """Sums over the co-raters of every item pair with two or more of them;
+    with ``targets`` only pairs that hold one of its items."""
+    rows = _marked(train, targets)
     long_users = _long_users(train, light)
     if long_users.isEmpty():
-        return _light_pairs(train).filter("n > 1")
-    rows = materialize(train, "ratings")
-    long_users = materialize(long_users, "long-users").select("user_id")
+        return _pair_sums(rows, rows, ["user_id"]).filter("n > 1")
+    rows = materialize(rows, "ratings")
+    long_users = materialize(long_users.select("user_id"), "long-users")
     long_rows = rows.join(long_users, "user_id", "left_semi")
-    light_sums = materialize(_light_pairs(rows.join(long_users, "user_id", "left_anti")), "pairs")
+    light_rows = rows.join(long_users, "user_id", "left_anti")
+    light_sums = materialize(_pair_sums(light_rows, light_rows, ["user_id"]), "pairs")
     completed = _merge(light_sums.unionByName(_looked_up(light_sums, long_rows))).filter("n > 1")
     only_long = _long_pairs(long_rows, light).join(light_sums, ["item_a", "item_b"], "left_anti")
     return completed.unionByName(only_long)
@@ -122,10 +162,14 @@ def _pearson() -> Column:
     return F.when(flat, F.lit(0.0)).otherwise(F.round(ratio, CORR_DIGITS))
 
 
-def item_pearson(train: DataFrame, light: int = LIGHT_HISTORY) -> DataFrame:
-    """Correlation of every item pair with two or more co-raters. Any pair
-    that is not listed has correlation zero."""
-    return co_rating_sums(train, light).select("item_a", "item_b", F.col("n").alias("n_co"), _pearson().alias("corr"))
+def item_pearson(
+    train: DataFrame, light: int = LIGHT_HISTORY, targets: DataFrame | None = None
+) -> DataFrame:
+    """Correlation of every item pair with two or more co-raters; with
+    ``targets`` only pairs that hold one of its items. A pair that is not
+    listed has correlation zero."""
+    sums = co_rating_sums(train, light, targets)
+    return sums.select("item_a", "item_b", F.col("n").alias("n_co"), _pearson().alias("corr"))
 
 
 def _self_pairs(train: DataFrame) -> DataFrame:
@@ -224,7 +268,7 @@ def item_knn_predict(
     or the user's mean when the weights cancel out. Only one side known: its
     mean. Neither: ``default``.
     """
-    corr = item_pearson(train, light)
+    corr = item_pearson(train, light, test)
     near = neighbours(test, train, corr, k, light)
     score = near.groupBy("user_id", "item_id").agg(
         F.sum(F.col("rating") * F.col("corr")).alias("num"), F.sum(F.abs("corr")).alias("den")

@@ -48,15 +48,21 @@ def local_session(cores: int | str = 8, app: str = "sparkmine", **conf: str) ->
     return spark
 
 
+_local_roots: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared scratch folder. A temporary folder is used only on a local
     master with no folder configured, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="sparkmine-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="sparkmine-")
+            context.setCheckpointDir(_local_roots[context.applicationId])
+        root = _local_roots[context.applicationId]
     return root.rstrip("/")
 
 

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmine.functions.hashing import SMALL_FILTER_SLOTS
-from sparkmine.operators.bloom import bloom_score, first_seen, judge
+from sparkmine.operators.bloom import bloom_score, merge_classes
 from sparkmine.streaming import state
-from sparkmine.streaming.state import to_console
 
-REPORT_SCHEMA = "unique_tags BIGINT, correct BIGINT, incorrect BIGINT, batch_id BIGINT"
-TAG_ORDINALS = 1 << 20  # tags told apart inside one post
+CLASSES = "bits ARRAY<BIGINT>, first_tag STRING, first_pos BIGINT, n_first BIGINT, n_all BIGINT"
+TAG_ORDINALS = 1 << 20  # places told apart inside one post
 
 
 def tag_positions(posts: DataFrame) -> DataFrame:
@@ -32,30 +31,23 @@ def run_bloom_stream(
     available_now: bool = False,
     emit: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Score all ``(tag, pos)`` rows seen so far. Ids must grow with arrival.
+    """Score all ``(tag, pos)`` rows seen so far. Positions must be unique.
 
-    The first position and count of each tag live in Spark's state store, as a
-    plain streaming aggregate that survives restarts; a batch is summed per
-    tag on the map side before it reaches the store. The score is worked out
-    from those rows on the executors.
+    The state is one row per class of tags sharing their slots, so its size
+    depends on the filter and not on the number of tags. Each batch is summed
+    per tag on the map side and merged into it.
     """
 
-    def on_batch(seen: DataFrame, batch_id: int) -> None:
-        seen = seen.persist()
-        try:
-            report = bloom_score(judge(seen, m))
-            state.write_state(report, state_path, batch_id)
-        finally:
-            seen.unpersist()
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        before = state.read(batch.sparkSession, state_path, "classes", batch_id - 1, CLASSES)
+        state.write(merge_classes(before, batch, m), state_path, "classes", batch_id)
         if emit:
-            emit(read_score(seen.sparkSession, state_path), batch_id)
+            emit(read_score(batch.sparkSession, state_path, m), batch_id)
 
-    return state.start(first_seen(tags), state_path, on_batch, available_now, mode="complete")
+    return state.start(tags, state_path, on_batch, available_now)
 
 
-def read_score(spark: SparkSession, state_path: str) -> DataFrame:
+def read_score(spark: SparkSession, state_path: str, m: tuple[int, ...] = SMALL_FILTER_SLOTS) -> DataFrame:
     """Score as of the last finished batch."""
-    return state.read_latest(spark, state_path, REPORT_SCHEMA).drop("batch_id")
-
-
-__all__ = ["read_score", "run_bloom_stream", "tag_positions", "to_console"]
+    last = state.last_batch(spark, state_path, "classes")
+    return bloom_score(state.read(spark, state_path, "classes", last, CLASSES), m)

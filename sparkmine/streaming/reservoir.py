@@ -5,15 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmine.operators.sampling import HOT_TAGS, SAMPLE_SIZE, hot_tags, reservoir, sample_stats
 from sparkmine.streaming import state
-from sparkmine.streaming.state import to_console
 
-STATE_SCHEMA = "id BIGINT, text STRING, tags ARRAY<STRING>, n_seen BIGINT, batch_id BIGINT"
+POSTS = "id BIGINT, text STRING, tags ARRAY<STRING>"
+SEEN = "n_seen BIGINT"
 
 
 def run_reservoir_stream(
@@ -26,26 +26,24 @@ def run_reservoir_stream(
 ) -> StreamingQuery:
     """Keep the sample of all ``(id, text, tags)`` posts seen so far.
 
-    Each batch is cut to ``size`` rows in its tasks and merged with the ``size``
-    rows kept so far; nothing else is remembered but the number of posts.
-    ``emit`` receives the hot tags and the sample figures of every batch.
+    One pass per batch: its tasks cut it to ``size`` rows and count it, and the
+    rows kept so far are merged in. Nothing else is remembered but the number
+    of posts, which is written last and marks the batch as done. ``emit``
+    receives the hot tags and the sample figures of every batch.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = state.read_before(spark, state_path, batch_id, STATE_SCHEMA)
-        batch = batch.select("id", "text", "tags").persist()
-        try:
-            seen = before.agg(F.max("n_seen")).first()[0] or 0
-            seen += batch.count()
-            merged = reservoir(batch, "id", size, seed).drop("prio").unionByName(before.select("id", "text", "tags"))
-            kept = reservoir(merged, "id", size, seed).drop("prio")
-            state.write_state(kept.withColumn("n_seen", F.lit(seen).cast("bigint")), state_path, batch_id)
-        finally:
-            batch.unpersist()
+        before = state.read(spark, state_path, "sample", batch_id - 1, POSTS)
+        seen = state.read(spark, state_path, "seen", batch_id - 1, SEEN).first()
+        counted = Observation()
+        batch = batch.select("id", "text", "tags").observe(counted, F.count(F.lit(1)).alias("n"))
+        cut = reservoir(batch, "id", size, seed).drop("prio")
+        state.write(reservoir(cut.unionByName(before), "id", size, seed).drop("prio"), state_path, "sample", batch_id)
+        n_seen = counted.get["n"] + (seen[0] if seen else 0)
+        state.write(spark.createDataFrame([(n_seen,)], SEEN), state_path, "seen", batch_id)
         if emit:
-            sample = read_sample(spark, state_path)
-            emit(hot_tags(sample, HOT_TAGS), batch_id)
+            emit(hot_tags(read_sample(spark, state_path), HOT_TAGS), batch_id)
             emit(stream_stats(spark, state_path), batch_id)
 
     return state.start(posts, state_path, on_batch, available_now)
@@ -53,14 +51,15 @@ def run_reservoir_stream(
 
 def read_sample(spark: SparkSession, state_path: str) -> DataFrame:
     """The sample as of the last finished batch."""
-    return state.read_latest(spark, state_path, STATE_SCHEMA).drop("batch_id")
+    return state.read(spark, state_path, "sample", state.last_batch(spark, state_path, "seen"), POSTS)
 
 
-def stream_stats(spark: SparkSession, state_path: str) -> DataFrame:
-    """Posts seen, rows kept, and mean text length of the sample."""
-    sample = read_sample(spark, state_path)
-    seen = sample.agg(F.max("n_seen")).first()[0] or 0
-    return sample_stats(sample, seen)
+def posts_seen(spark: SparkSession, state_path: str) -> int:
+    last = state.last_batch(spark, state_path, "seen")
+    row = state.read(spark, state_path, "seen", last, SEEN).first()
+    return row[0] if row else 0
 
 
-__all__ = ["read_sample", "run_reservoir_stream", "stream_stats", "to_console"]
+def stream_stats(spark: SparkSession, state_path: str) -> DataFrame:
+    """Posts seen, rows kept, and mean text length of the sample."""
+    return sample_stats(read_sample(spark, state_path), posts_seen(spark, state_path))

@@ -2,8 +2,9 @@
 
 Two folders take turns: batch ``n`` reads what batch ``n - 1`` wrote and
 overwrites the other folder, so a batch that is run again after a failure
-starts from the same state and leaves the same state. The query's own
-checkpoint lies in the same place, which ties the batch numbers to the tables.
+starts from the same state and leaves the same state. A table's rows carry
+their batch number. The query's own checkpoint lies in the same place, which
+ties the batch numbers to the tables.
 """
 
 from __future__ import annotations
@@ -11,53 +12,53 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 TRIGGER = "10 seconds"  # fixed value: batch interval of a running stream
 
 
-def _folder(path: str, batch_id: int) -> str:
-    return f"{path}/state-{batch_id % 2}"
+def _folder(path: str, name: str, batch_id: int) -> str:
+    return f"{path}/{name}-{batch_id % 2}"
 
 
-def _load(spark: SparkSession, folder: str, schema) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(folder)
-    except AnalysisException:  # nothing written yet
-        return None
+def read(spark: SparkSession, path: str, name: str, batch_id: int, schema: str) -> DataFrame:
+    """Rows that batch ``batch_id`` wrote to table ``name``; none before the
+    first batch."""
+    full = f"{schema}, batch_id BIGINT"
+    if batch_id >= 0:
+        try:
+            rows = spark.read.schema(full).parquet(_folder(path, name, batch_id))
+            return rows.filter(F.col("batch_id") == batch_id).drop("batch_id")
+        except AnalysisException:  # nothing written yet
+            pass
+    return spark.createDataFrame([], schema)
 
 
-def read_before(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
-    """State left by the batch before ``batch_id``; empty at the start."""
-    found = _load(spark, _folder(path, batch_id - 1), schema) if batch_id else None
-    if found is None:
-        return spark.createDataFrame([], schema)
-    return found.filter(F.col("batch_id") == batch_id - 1)
+def write(df: DataFrame, path: str, name: str, batch_id: int) -> None:
+    rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).coalesce(1)
+    rows.write.mode("overwrite").parquet(_folder(path, name, batch_id))
 
 
-def write_state(df: DataFrame, path: str, batch_id: int) -> None:
-    state = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    state.coalesce(1).write.mode("overwrite").parquet(_folder(path, batch_id))
+def last_batch(spark: SparkSession, path: str, name: str) -> int:
+    """Number of the last batch that wrote table ``name``, or -1."""
+    found = -1
+    for turn in (0, 1):
+        try:
+            rows = spark.read.schema("batch_id BIGINT").parquet(_folder(path, name, turn))
+        except AnalysisException:
+            continue
+        found = max(found, rows.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0])
+    return found
 
 
-def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
-    """State of the last finished batch."""
-    tables = [t for t in (_load(spark, _folder(path, b), schema) for b in (0, 1)) if t is not None]
-    best, best_id = spark.createDataFrame([], schema), -1
-    for found in tables:
-        batch_id = found.agg(F.max("batch_id")).first()[0]
-        if batch_id is not None and batch_id > best_id:
-            best, best_id = found, batch_id
-    return best
-
-
-def start(stream: DataFrame, path: str, on_batch, available_now: bool, mode: str = "append"):
-    writer = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", f"{path}/checkpoint")
+def start(stream: DataFrame, path: str, on_batch, available_now: bool) -> StreamingQuery:
+    trigger = {"availableNow": True} if available_now else {"processingTime": TRIGGER}
+    return (
+        stream.writeStream.option("checkpointLocation", f"{path}/checkpoint")
         .foreachBatch(on_batch)
+        .trigger(**trigger)
+        .start()
     )
-    trigger = {"availableNow": True} if available_now else {"processingTime": TRIGGER}
-    return writer.trigger(**trigger).start()
 
 
 def to_console(df: DataFrame, batch_id: int) -> None:

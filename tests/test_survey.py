@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import pytest
+
+from conftest import plan_of
+from sparkmine.operators import layout, survey
+from sparkmine.sources import readers, sinks
+
+ANSWERS = [
+    ("Aland", "1,000", "Monthly"),
+    ("Aland", "12k", "Yearly"),  # no number: counted, no annual salary
+    ("Aland", "0", "Yearly"),
+    ("Aland", "NA", "Yearly"),
+    ("Aland", None, "Yearly"),
+    ("Aland", "10", "Weekly"),
+    ("Borduria", "7", None),  # pay period unknown: left out of the statistics
+    ("Corto, Isle", "3000000000", "NA"),
+    ("Corto, Isle", "2.5", "Yearly"),
+    ("Corto, Isle", "0,0", "Yearly"),
+    (None, "5", "Yearly"),
+]
+
+
+@pytest.fixture
+def answers(spark):
+    return spark.createDataFrame(ANSWERS, readers.SURVEY_SCHEMA)
+
+
+def test_has_salary_drops_zero_missing_and_null(answers):
+    kept = [r.salary for r in survey.with_salary(answers).collect()]
+    assert sorted(kept) == sorted(["1,000", "12k", "10", "7", "3000000000", "2.5", "5", "0,0"])
+
+
+def test_counts_and_total(answers, rows):
+    got = rows(survey.salary_counts(answers))
+    assert got == sorted(
+        [("Aland", 3, False), ("Borduria", 1, False), ("Corto, Isle", 3, False), (None, 1, False), (None, 8, True)],
+        key=repr,
+    )
+
+
+def test_stats(answers, rows):
+    got = rows(survey.salary_stats(answers))
+    assert got == [
+        ("Aland", 3, 520.0, 12000.0, 6260.0),
+        ("Corto, Isle", 3, 0.0, 3e9, (3e9 + 2.5) / 3),
+    ]
+
+
+def test_stats_by_join_agree(answers, rows):
+    assert rows(survey.salary_stats_by_join(answers)) == rows(survey.salary_stats(answers))
+
+
+def test_union_form_agrees(answers, rows):
+    one = survey.annual_salary(survey.with_salary(answers)).filter("salary_type IS NOT NULL")
+    assert rows(survey.annual_salary_by_union(survey.with_salary(answers))) == rows(one)
+
+
+def test_other_factors(answers, rows):
+    half = survey.annual_salary(answers.filter("salary = '10'"), {"Weekly": 26}, default=2)
+    assert [r.annual_salary for r in half.collect()] == [260.0]
+    assert [r.annual_salary for r in survey.annual_salary(answers.filter("salary = '10'"), {}, 2).collect()] == [20.0]
+
+
+def test_report_numbers_saturate_and_round(spark, rows):
+    stats = spark.createDataFrame(
+        [("A, B", 2, 1.9, 1e20, 1.7648485163048775e15), ("C", 1, -1e20, 2.675, 2.675)],
+        "country STRING, n BIGINT, min_salary DOUBLE, max_salary DOUBLE, avg_salary DOUBLE",
+    )
+    assert rows(survey.format_salary_stats(stats)) == [
+        ("A B", 2, 1, 2147483647, 1.7648485163048775e15),
+        ("C", 1, -2147483648, 2, 2.68),
+    ]
+
+
+def test_written_reports(answers, spark, tmp_path):
+    sinks.write_counts(survey.salary_counts(answers.filter("country IS NOT NULL")), str(tmp_path / "counts"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "counts")).collect()]
+    assert lines == ["Total,7", "Aland,3", "Borduria,1", "Corto Isle,3"]
+    sinks.write_salary_stats(survey.salary_stats(answers), str(tmp_path / "stats"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "stats")).collect()]
+    assert lines == ["Aland,3,520,12000,6260.0", "Corto Isle,3,0,2147483647,1.00000000083E9"]
+
+
+def test_partition_profile(spark, tmp_path):
+    df = spark.createDataFrame([(i, "x" if i % 3 else "y") for i in range(90)], "id INT, country STRING")
+    even = layout.partition_profile(df, 2).collect()
+    keyed = layout.partition_profile(df, 8, "country").collect()
+    assert sum(r.n for r in even) == sum(r.n for r in keyed) == 90
+    assert [r.partition_id for r in sorted(keyed, key=lambda r: r.partition_id)] == list(range(8))
+    assert sorted(r.n for r in keyed if r.n) in ([30, 60], [90])
+    sinks.write_partition_report(layout.partition_profile(df, 2), str(tmp_path / "report"))
+    assert len(spark.read.csv(str(tmp_path / "report")).collect()) == 2
+
+
+def test_stats_take_one_exchange(answers):
+    plan = plan_of(survey.salary_stats(answers))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_key_layout_is_reused_by_the_grouping(answers):
+    plan = plan_of(layout.lay_out(answers, 2, "country").groupBy("country").count())
+    assert plan.count("Exchange") == 1
