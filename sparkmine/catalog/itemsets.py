@@ -8,9 +8,9 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.functions.text import tokens
+from sparkmine.functions.text import has_words
 from sparkmine.operators import itemsets
-from sparkmine.plans.workspace import materialize, new_path
+from sparkmine.plans.workspace import new_path
 from sparkmine.sources import fixtures as fx
 from sparkmine.sources import readers
 
@@ -44,7 +44,7 @@ found AS (
 
 def _support(spark: SparkSession, sf_dir: str) -> int:
     """Support threshold: a fixed share of the documents with any word."""
-    n = fx.docs(spark, sf_dir).filter(F.size(tokens("text")) > 0).count()
+    n = fx.docs(spark, sf_dir).filter(has_words("text")).count()
     return math.ceil(Fraction(SUPPORT_SHARE) * n)
 
 
@@ -89,7 +89,7 @@ def itemsets_fpgrowth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def itemset_support_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many baskets hold each joined candidate of three items, frequent or not."""
-    baskets = materialize(itemsets.basket_dedup(fx.baskets(spark, sf_dir)), "words")
+    baskets = fx.baskets(spark, sf_dir)
     pairs = itemsets.frequent_itemsets(baskets, _support(spark, sf_dir), 2).filter("size = 2")
     cands = itemsets.candidates(pairs.select("items"))
     return _joined(itemsets.support_count(baskets, cands))

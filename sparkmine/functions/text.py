@@ -14,17 +14,21 @@ def strip_commas(c: str | Column) -> Column:
     return F.replace(_col(c), F.lit(","))
 
 
+def has_words(c: str | Column) -> Column:
+    """False for a line of blanks only; it splits into no word at all."""
+    text = _col(c)
+    return (F.rtrim(text) != "") | (text == "")
+
+
 def tokens(c: str | Column) -> Column:
     """Split on single blanks; trailing empty words go, inner ones stay.
 
-    An empty line is one empty word, a line of blanks only has no word.
+    An empty line is one empty word, a line of blanks only has no word. Only
+    blanks are cut off the end, not tabs or line ends.
     """
     text = _col(c)
-    trimmed = F.rtrim(text)
-    # rtrim strips blanks only, not tabs or line ends.
-    return F.when((trimmed == "") & (text != ""), F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, " ", -1)
-    )
+    words = F.split(F.rtrim(text), " ", -1)
+    return F.when(has_words(text), words).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def hashtags(c: str | Column) -> Column:

@@ -238,7 +238,8 @@ def neighbours(
     """
     users = histories(train).select("user_id", "history")
     items = train.select("item_id").distinct()
-    known = test.select("user_id", "item_id").join(users, "user_id").join(items, "item_id", "left_semi")
+    pairs = test.select("user_id", "item_id").distinct()
+    known = pairs.join(users, "user_id").join(items, "item_id", "left_semi")
     weights = _weights(train, corr)
     cols = ["user_id", "item_id", "neighbour", "rating", "corr", "place", "weighted", "history"]
     found = _light_neighbours(known.filter(F.col("history") <= light), train, weights, k).select(cols)
@@ -262,7 +263,7 @@ def item_knn_predict(
     light: int = LIGHT_HISTORY,
 ) -> DataFrame:
     """Predicted rating of every test pair, as ``(user_id, item_id, rating,
-    prediction)``.
+    prediction)``. Training pairs must be unique; see ``dedup_last``.
 
     Both sides known: mean of the neighbours' ratings weighted by correlation,
     or the user's mean when the weights cancel out. Only one side known: its

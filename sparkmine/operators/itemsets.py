@@ -112,9 +112,8 @@ def support_count(baskets: DataFrame, cands: DataFrame) -> DataFrame:
     cands = cands.select("items").distinct()
     members = cands.select("items", F.explode("items").alias("item"))
     wanted = members.select("item").distinct()
-    held = basket_dedup(baskets.join(wanted, "item", "left_semi"))
-    n = held.select(F.countDistinct("basket")).first()[0]
-    bits = basket_bits(held, n)
+    held = materialize(basket_dedup(baskets.join(wanted, "item", "left_semi")), "held")
+    bits = basket_bits(held, _about_baskets(held))
     whole = F.count("*") == F.size("items")
     return (
         members.join(bits, "item")
@@ -127,11 +126,13 @@ def support_count(baskets: DataFrame, cands: DataFrame) -> DataFrame:
     )
 
 
-def _by_levels(held: DataFrame, singles: DataFrame, n_baskets: int, support: int, max_len: int | None) -> DataFrame:
+def _about_baskets(held: DataFrame) -> int:
+    """Roughly how many baskets there are; sizes the buckets, changes no result."""
+    return held.select(F.approx_count_distinct("basket")).first()[0]
+
+
+def _by_levels(kept: DataFrame, singles: DataFrame, n_baskets: int, support: int, max_len: int | None) -> DataFrame:
     out = singles.select(F.array("item").alias("items"), "freq")
-    if max_len == 1:
-        return out
-    kept = held.join(singles.select("item"), "item", "left_semi")
     bits = basket_bits(kept, n_baskets).select(F.array("item").alias("items"), "block", *WORD_COLS)
     bits = materialize(bits, "bits-1")
     size = 2
@@ -147,10 +148,9 @@ def _by_levels(held: DataFrame, singles: DataFrame, n_baskets: int, support: int
     return out
 
 
-def _by_fpgrowth(held: DataFrame, singles: DataFrame, n_baskets: int, support: int) -> DataFrame:
-    # Cut to frequent items first: a basket's list is then no longer than the
+def _by_fpgrowth(kept: DataFrame, singles: DataFrame, support: int) -> DataFrame:
+    # Baskets are cut to frequent items already: a list is no longer than the
     # list of frequent items.
-    kept = held.join(singles.select("item"), "item", "left_semi")
     lists = kept.groupBy("basket").agg(F.collect_list("item").alias("items"))
     # The solver takes a share of its own rows and rounds up; half a basket
     # less keeps sets of exactly ``support`` baskets.
@@ -168,21 +168,25 @@ def frequent_itemsets(
     """All itemsets of up to ``max_len`` items (any size when None) held by at
     least ``support`` baskets, as ``(items, size, freq)`` with sorted items.
 
-    ``auto`` takes ``levels`` when pairing the bit rows costs less than going
-    through the baskets' items, else ``fpgrowth``.
+    The baskets are read twice: once to find the frequent items, once for the
+    rows of those items, which is all that is written down. ``auto`` takes
+    ``levels`` when pairing the bit rows costs less than going through the
+    baskets' items, else ``fpgrowth``.
     """
-    held = materialize(basket_dedup(baskets), "baskets")
-    n_baskets = held.select(F.countDistinct("basket")).first()[0]
-    singles = materialize(frequent_items(held, support), "level-1")
-    n_items, n_kept = singles.agg(F.count("*"), F.coalesce(F.sum("freq"), F.lit(0))).first()
+    singles = materialize(frequent_items(basket_dedup(baskets), support), "level-1")
+    if max_len == 1:
+        return singles.select(F.array("item").alias("items"), F.lit(1).alias("size"), "freq")
+    kept = materialize(basket_dedup(baskets.join(singles.select("item"), "item", "left_semi")), "baskets")
+    n_baskets = _about_baskets(kept)
     if method == "auto":
+        n_items, n_kept = singles.agg(F.count("*"), F.coalesce(F.sum("freq"), F.lit(0))).first()
         per_basket = (n_kept / max(1, n_baskets)) ** 2
         per_block = n_items**2 / BLOCK
         method = "levels" if per_block <= per_basket else "fpgrowth"
     if method == "levels":
-        found = _by_levels(held, singles, n_baskets, support, max_len)
+        found = _by_levels(kept, singles, n_baskets, support, max_len)
     elif method == "fpgrowth":
-        found = _by_fpgrowth(held, singles, n_baskets, support)
+        found = _by_fpgrowth(kept, singles, support)
     else:
         raise ValueError(f"unknown method {method!r}")
     found = found.select("items", F.size("items").alias("size"), "freq")
