@@ -35,17 +35,17 @@ def bloom_bits(df: DataFrame, col: str, m: tuple[int, ...] = SMALL_FILTER_SLOTS)
     return df.withColumn("bits", F.array(*[slot(F.col(col), n) for n in m]))
 
 
-def first_seen(df: DataFrame, tag: str = "tag", pos: str = "pos") -> DataFrame:
-    """First position and number of appearances of each tag."""
-    return df.groupBy(F.col(tag).alias("tag")).agg(F.min(pos).alias("first_pos"), F.count("*").alias("n"))
+def _tag_rows(df: DataFrame, tag: str, pos: str) -> DataFrame:
+    one = F.lit(1).cast("bigint")
+    return df.select(F.col(tag).alias("tag"), F.col(pos).alias("first_pos"), one.alias("n"), one.alias("n_all"))
 
 
 def slot_classes(
     df: DataFrame, tag: str = "tag", pos: str = "pos", m: tuple[int, ...] = SMALL_FILTER_SLOTS
 ) -> DataFrame:
     """Describe each class of tags as ``(bits, first_tag, first_pos, n_first,
-    n_all)``. Tags are summed up on the map side before anything moves."""
-    return _classes(bloom_bits(first_seen(df, tag, pos), "tag", m).withColumn("n_all", F.col("n")))
+    n_all)``."""
+    return _classes(_tag_rows(df, tag, pos), m)
 
 
 def merge_classes(
@@ -53,19 +53,22 @@ def merge_classes(
 ) -> DataFrame:
     """Classes of two parts of the tags, given the classes of the first part
     and the tags ``(tag, pos)`` of the second."""
-    known = earlier.select(
-        F.col("first_tag").alias("tag"), "first_pos", F.col("n_first").alias("n"), "bits", "n_all"
-    )
-    new = bloom_bits(first_seen(later), "tag", m).withColumn("n_all", F.col("n"))
-    tags = known.unionByName(new).groupBy("bits", "tag").agg(
-        F.min("first_pos").alias("first_pos"), F.sum("n").alias("n"), F.sum("n_all").alias("n_all")
-    )
-    return _classes(tags)
+    known = earlier.select(F.col("first_tag").alias("tag"), "first_pos", F.col("n_first").alias("n"), "n_all")
+    return _classes(known.unionByName(_tag_rows(later, "tag", "pos")), m)
 
 
-def _classes(tags: DataFrame) -> DataFrame:
+def _classes(rows: DataFrame, m: tuple[int, ...]) -> DataFrame:
+    """Sums per tag, then per class; both are cut down on the map side before
+    anything moves, so neither a hot tag nor a hot class meets in one task."""
+    tags = rows.groupBy("tag").agg(
+        F.min("first_pos").alias("first_pos"), F.sum("n").alias("n"), F.sum("n_all").alias("n_all")
+    )
     first = F.min_by(F.struct("tag", "n"), "first_pos").alias("first")
-    classes = tags.groupBy("bits").agg(first, F.min("first_pos").alias("first_pos"), F.sum("n_all").alias("n_all"))
+    classes = (
+        bloom_bits(tags, "tag", m)
+        .groupBy("bits")
+        .agg(first, F.min("first_pos").alias("first_pos"), F.sum("n_all").alias("n_all"))
+    )
     return classes.select(
         "bits", F.col("first.tag").alias("first_tag"), "first_pos", F.col("first.n").alias("n_first"), "n_all"
     )
