@@ -15,7 +15,6 @@ from sparkmine.sources import fixtures as fx
 from sparkmine.sources import readers
 
 SUPPORT_SHARE = "0.3"
-MAX_LEN = 3
 
 WORDS = """words AS (
   SELECT DISTINCT doc_id AS basket, unnest(string_split(rtrim(lower(text), ' '), ' ')) AS item
@@ -35,11 +34,26 @@ three AS (
   FROM kept a JOIN kept b ON a.basket = b.basket AND a.item < b.item
               JOIN kept c ON a.basket = c.basket AND b.item < c.item
   GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT support FROM need))"""
-ALL = THREE + """,
-found AS (
-  SELECT item AS items, 1 AS size, freq FROM one
-  UNION ALL SELECT concat_ws(',', i1, i2), 2, freq FROM two
-  UNION ALL SELECT concat_ws(',', i1, i2, i3), 3, freq FROM three)"""
+
+
+def _levels_sql(depth: int) -> str:
+    """Frequent sets of every size up to ``depth``, one level after the other;
+    levels past the largest set are empty."""
+    ctes = [ONE, "t1 AS (SELECT item AS items, item AS last, basket FROM kept)"]
+    for k in range(1, depth + 1):
+        if k > 1:
+            ctes.append(f"""t{k} AS (
+  WITH grown AS (SELECT a.items || ',' || b.item AS items, b.item AS last, a.basket
+                 FROM t{k - 1} a JOIN kept b ON a.basket = b.basket AND a.last < b.item)
+  SELECT * FROM grown WHERE items IN (
+    SELECT items FROM grown GROUP BY items HAVING count(*) >= (SELECT support FROM need)))""")
+        ctes.append(f"f{k} AS (SELECT items, {k} AS size, count(*) AS freq FROM t{k} GROUP BY items)")
+    union = " UNION ALL ".join(f"SELECT * FROM f{k}" for k in range(1, depth + 1))
+    return ",\n".join(ctes) + f",\nfound AS ({union})"
+
+
+DEPTH = 16  # more than the largest set of the test tables
+ALL = _levels_sql(DEPTH)
 
 
 def _support(spark: SparkSession, sf_dir: str) -> int:
@@ -48,7 +62,7 @@ def _support(spark: SparkSession, sf_dir: str) -> int:
     return math.ceil(Fraction(SUPPORT_SHARE) * n)
 
 
-def _found(spark: SparkSession, sf_dir: str, max_len: int = MAX_LEN, method: str = "auto") -> DataFrame:
+def _found(spark: SparkSession, sf_dir: str, max_len: int | None = None, method: str = "auto") -> DataFrame:
     return itemsets.frequent_itemsets(fx.baskets(spark, sf_dir), _support(spark, sf_dir), max_len, method)
 
 
