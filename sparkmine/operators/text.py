@@ -5,6 +5,10 @@ Documents come as ``(doc_id, text)``, one document per row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import IDF, HashingTF, VarianceThresholdSelector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,15 +18,13 @@ from sparkmine.functions.text import tokens
 from sparkmine.plans.workspace import materialize
 
 NUM_FEATURES = 1 << 20  # fixed value: width of the hashed vectors
-BROADCAST_ROWS = 1 << 22  # widest feature space whose weights are broadcast
+BROADCAST_SLOTS = 1 << 22  # widest vectors whose slot weights are broadcast, 32 MiB
 
 
 def by_document(docs: DataFrame) -> DataFrame:
-    """Documents dealt out by id while they are still one row each.
-
-    A text is smaller than the rows its words become, and every later step
-    that groups by document and word, or by document, finds its rows in place.
-    """
+    """Documents dealt out by id while they are still one row each, which is
+    less to move than the rows their words become. Later steps that group by
+    document and word find their rows in place."""
     return docs.repartition("doc_id")
 
 
@@ -36,9 +38,21 @@ def term_frequency(words: DataFrame) -> DataFrame:
     return words.groupBy("doc_id", "term").agg(F.count("*").cast("double").alias("weight"))
 
 
+def _counted(docs: DataFrame, words: Column) -> DataFrame:
+    """The distinct values of ``words`` in order and how often each occurs, as
+    ``(doc_id, idx, val)``. Worked out inside the row; nothing is moved."""
+    ordered = docs.select("doc_id", F.sort_array(words).alias("all"))
+    ends = F.transform("all", lambda w, i: F.when(F.coalesce(w != F.get("all", i + 1), F.lit(True)), i + 1))
+    ends = ordered.select("doc_id", "all", F.filter(ends, lambda e: e.isNotNull()).alias("ends"))
+    runs = F.transform("ends", lambda e, i: (e - F.coalesce(F.get("ends", i - 1), F.lit(0))).cast("double"))
+    return ends.select("doc_id", F.array_distinct("all").alias("idx"), runs.alias("val"))
+
+
 def document_tf(docs: DataFrame) -> DataFrame:
-    """Word frequencies straight from the documents."""
-    return term_frequency(tokenize(by_document(docs)))
+    """Word frequencies straight from the documents, one row per document."""
+    counted = _counted(docs, tokens("text"))
+    cells = counted.select("doc_id", F.explode(F.arrays_zip("idx", "val")).alias("cell"))
+    return cells.select("doc_id", F.col("cell.idx").alias("term"), F.col("cell.val").alias("weight"))
 
 
 def idf(tf: DataFrame, n_docs: int, key: str = "term") -> DataFrame:
@@ -59,27 +73,47 @@ def tfidf(tf: DataFrame, n_docs: int, key: str = "term") -> DataFrame:
 
 def vectorize(docs: DataFrame, features: str = "tf", num_features: int = NUM_FEATURES) -> DataFrame:
     """Hashed word vectors ``(id, idx, val)``: parallel arrays of the slots in
-    use, in order, and their weights. ``features`` is ``tf`` or ``tfidf``."""
+    use, in order, and their weights. ``features`` is ``tf`` or ``tfidf``.
+
+    A document stays one row from its text to its vector; only the document
+    counts per slot, at most one row per slot and task, are exchanged.
+    """
     kind = features.lower()
     if kind not in ("tf", "tfidf"):
         raise ValueError(f"unknown features {features!r}")
-    words = by_document(docs).select("doc_id", F.explode_outer(tokens("text")).alias("term"))
-    # A document without words keeps one row with a null slot.
-    hashed = words.select("doc_id", slot(F.col("term"), num_features).cast("int").alias("slot"))
-    tf = hashed.groupBy("doc_id", "slot").agg(F.count("*").cast("double").alias("weight"))
-    if kind == "tfidf":
-        # Both uses of ``tf`` read the same exchange of the documents.
-        weights = idf(tf.filter(F.col("slot").isNotNull()), docs.count(), "slot").select("slot", "idf")
-        if num_features <= BROADCAST_ROWS:  # at most one row per slot
-            weights = F.broadcast(weights)
-        tf = tf.join(weights, "slot", "left").select(
-            "doc_id", "slot", (F.col("weight") * F.col("idf")).alias("weight")
-        )
-    cell = F.when(F.col("slot").isNotNull(), F.struct("slot", "weight"))
-    vectors = tf.groupBy("doc_id").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
-    return vectors.select(
-        F.col("doc_id").alias("id"), F.col("cells.slot").alias("idx"), F.col("cells.weight").alias("val")
-    )
+    slots = F.transform(tokens("text"), lambda word: slot(word, num_features).cast("int"))
+    vectors = _counted(docs, slots).withColumnRenamed("doc_id", "id")
+    if kind == "tf":
+        return vectors
+    vectors = materialize(vectors, "tf")
+    used = vectors.select(F.explode("idx").alias("slot"))
+    weights = idf(used, vectors.count(), "slot").select("slot", "idf")
+    if num_features <= BROADCAST_SLOTS:
+        return vectors.withColumn("val", _weighted(weights, num_features))
+    return _weighted_by_join(vectors, weights)
+
+
+def _weighted(weights: DataFrame, num_features: int) -> Column:
+    table = weights.toArrow().to_pandas()
+    dense = np.zeros(num_features)
+    dense[table["slot"].to_numpy()] = table["idf"].to_numpy()
+    held = weights.sparkSession.sparkContext.broadcast(dense)
+
+    @F.pandas_udf("array<double>")
+    def weighted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for idx, val in batches:
+            yield pd.Series([v * held.value[i] for i, v in zip(idx, val)])
+
+    return weighted("idx", "val")
+
+
+def _weighted_by_join(vectors: DataFrame, weights: DataFrame) -> DataFrame:
+    cells = vectors.select("id", F.explode_outer(F.arrays_zip("idx", "val")).alias("cell"))
+    cells = cells.select("id", F.col("cell.idx").alias("slot"), F.col("cell.val").alias("val"))
+    cells = cells.join(weights, "slot", "left")
+    cell = F.when(F.col("slot").isNotNull(), F.struct("slot", (F.col("val") * F.col("idf")).alias("val")))
+    grouped = cells.groupBy("id").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return grouped.select("id", F.col("cells.slot").alias("idx"), F.col("cells.val").alias("val"))
 
 
 def dense_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -94,7 +128,7 @@ def ml_tfidf(docs: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
     Slots that are the same in every document, above all the unused ones, do
     not change any distance and are cut out: the solvers sum dense vectors.
     """
-    words = by_document(docs).select(F.col("doc_id").alias("id"), tokens("text").alias("words"))
+    words = docs.select(F.col("doc_id").alias("id"), tokens("text").alias("words"))
     tf = HashingTF(inputCol="words", outputCol="all", numFeatures=num_features).transform(words)
     used = VarianceThresholdSelector(featuresCol="all", outputCol="tf", varianceThreshold=0.0)
     tf = materialize(used.fit(tf).transform(tf).select("id", "tf"), "ml-tf")

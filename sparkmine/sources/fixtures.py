@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sparkmine.functions.text import tokens
 from sparkmine.operators.ratings import dedup_last
 from sparkmine.operators.text import by_document
+from sparkmine.plans.workspace import spread
 
 SURVEY_SQL = """
 SELECT o.o_orderkey AS resp_id,
@@ -78,12 +79,14 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    return spread(rows)  # the test tables are single files
 
 
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per word occurrence; repeated words are left in."""
-    return by_document(docs(spark, sf_dir)).select(
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    return by_document(rows).select(
         F.col("doc_id").alias("basket"), F.explode(tokens("text")).alias("item")
     )
 

@@ -71,9 +71,31 @@ def test_unknown_features(docs):
         text.vectorize(docs, "bm25")
 
 
-def test_vectors_take_one_exchange(docs):
-    plan = plan_of(text.vectorize(docs))
-    assert plan.count("Exchange") == 1 and "doc_id" in plan
+def test_documents_are_not_moved(docs):
+    for df in (text.vectorize(docs), text.document_tf(docs)):
+        assert "Exchange" not in plan_of(df)
+
+
+def test_words_in_place_after_dealing_by_document(docs):
+    plan = plan_of(text.term_frequency(text.tokenize(text.by_document(docs))))
+    assert plan.count("Exchange") == 1
+
+
+def test_wide_vectors_are_weighted_by_join(docs, monkeypatch):
+    narrow = {r.id: r for r in text.vectorize(docs, "tfidf").collect()}
+    monkeypatch.setattr(text, "BROADCAST_SLOTS", 0)
+    wide = {r.id: r for r in text.vectorize(docs, "tfidf").collect()}
+    assert wide.keys() == narrow.keys()
+    for i, r in wide.items():
+        assert r.idx == narrow[i].idx and r.val == pytest.approx(narrow[i].val)
+
+
+@pytest.mark.parametrize("line", ["b a b  c a b", "", "  ", "x"])
+def test_counted_inside_the_row(spark, line):
+    df = spark.createDataFrame([(1, line)], "doc_id BIGINT, text STRING")
+    got = {r.term: r.weight for r in text.document_tf(df).collect()}
+    again = {r.term: r.weight for r in text.term_frequency(text.tokenize(df)).collect()}
+    assert got == again == Counter(words(line))
 
 
 def test_ml_vectors_keep_distances(docs):
