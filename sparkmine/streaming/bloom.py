@@ -31,7 +31,8 @@ def run_bloom_stream(
     available_now: bool = False,
     emit: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Score all ``(tag, pos)`` rows seen so far. Positions must be unique.
+    """Score all ``(tag, pos)`` rows seen so far. Positions are the order of
+    arrival: unique, and growing from batch to batch.
 
     The state is one row per class of tags sharing their slots, so its size
     depends on the filter and not on the number of tags. Each batch is summed
