@@ -71,9 +71,10 @@ class Encoder:
 
 
 def _folded(text: bytes) -> bytes:
-    """Lower-case ASCII, so that more words are known; not where a special
-    token, told apart by its case, may stand."""
-    return text if b"<|" in text else text.lower()
+    """Lower-case, so that more words are known. Not where a special token, told
+    apart by its case, may stand, nor where a letter may still be composed with
+    the mark behind it."""
+    return text.lower() if text.isascii() and b"<|" not in text else text
 
 
 class _Words(dict):
