@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmine.llm import tokens
+from sparkmine.llm import simhash, substrings, tokens
 from sparkmine.llm.tables import prepare, table
 from sparkmine.plans.workspace import new_path
 
@@ -21,7 +21,18 @@ def token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(shards, root)
 
 
+def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(prepare(spark), sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(found["fp"]).alias("fingerprint"), "component_id")
+
+
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.clean(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_shards": token_shards,
+    "op4_simhash_classes": simhash_classes,
+    "op6_substring_dedup": substring_dedup,
 }
 SQL: dict[str, str] = {}
