@@ -5,12 +5,14 @@ A source's target is its weight's share of all words, but at most ``MOST``
 times what it has; what that leaves over is dealt among the others by weight
 until none is above. Every document of a source is wanted ``target / size of
 the source`` times. The whole part is taken; the fractions are rounded by the
-pivotal method, in words: two documents exchange wanted words at random, both
-expectations kept, until one of them is taken or left for good. The other goes
-on to the next pair. Pairing runs inside blocks of about ``FAN`` documents,
-whose residuals (one a block) meet in blocks of the next level, down to one
-residual a source, which goes the nearer way. So the words taken miss the
-target by at most half of one document.
+pivotal method, in words: two partners exchange wanted words at random, both
+expectations kept, until one of them is whole. The partners are the largest
+open document of a block and all smaller ones of the block together (which
+gain or lose in proportion): paired one against one, the larger document would
+nearly always stay open, and a source could miss its target by half of its
+longest text. A block has about ``FAN`` documents and leaves one open, mostly
+its smallest. These residuals meet in blocks of the next level, down to one a
+source, which goes the nearer way.
 
 All random numbers are hashes of the documents' ids, sources and sizes, so
 reruns agree. Blocks are drawn by hash; rows that repeat (same id, source and
@@ -35,6 +37,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 FAN = 64
 SEED = 20
+EDGE = 1e-9  # a fraction this near to a whole number is whole
 WORD = r"[^ \t\n\x0B\f\r]+"
 
 
@@ -78,49 +81,65 @@ def _chance(*of: Column | str) -> Column:
     return F.pmod(F.xxhash64(*of), F.lit(1 << 52)) / float(1 << 52)
 
 
-def _exchange(held: Column, new: Column) -> Column:
-    """Two fractional documents exchange wanted words until one is whole:
-    ``(out, up, left)``."""
-    rise = F.least(held["size"] * (1 - held["x"]), new["size"] * new["x"])  # words that may go to held
-    fall = F.least(held["size"] * held["x"], new["size"] * (1 - new["x"]))
+ITEM = "struct<size:bigint,who:bigint,salt:bigint,row:bigint,x:double>"
+DONE = "array<struct<row:bigint,up:boolean>>"
+STATE = f"struct<words:bigint,mass:double,base:double,slope:double,held:{ITEM},done:{DONE}>"
 
-    def moved(v: Column) -> Column:
-        up = _chance(F.lit(SEED), held["who"], held["salt"], new["who"], new["salt"]) * (v["rise"] + v["fall"]) < v["fall"]
-        return let(F.when(up, v["rise"]).otherwise(-v["fall"]), settled)
 
-    def settled(words: Column) -> Column:
-        first = F.when(words > 0, held["size"] * (1 - held["x"]) <= new["size"] * new["x"]).otherwise(
-            held["size"] * held["x"] <= new["size"] * (1 - new["x"])
-        )
-        rest_new = new.withField("x", new["x"] - words / new["size"])
-        rest_held = held.withField("x", held["x"] + words / held["size"])
-        return F.struct(
-            F.when(first, held["row"]).otherwise(new["row"]).alias("row"),
-            F.when(first, words > 0).otherwise(words <= 0).alias("up"),
-            F.when(first, rest_new).otherwise(rest_held).alias("left"),
-        )
+def _step(state: Column, item: Column) -> Column:
+    """The largest document left exchanges wanted words with all smaller ones.
 
-    return let(F.struct(rise.alias("rise"), fall.alias("fall")), moved)
+    ``words`` and ``mass`` are the sizes left and the words first wanted of
+    them; a fraction that was ``x`` at first is ``base + slope * x`` by now.
+    """
+    size = item["size"]
 
+    def turn(v: Column) -> Column:
+        x, room, mass = v["x"], v["room"], v["mass"]
+        rest = F.struct(room.alias("words"), (state["mass"] - size * item["x"]).alias("mass"))
+        whole = (x <= EDGE) | (x >= 1 - EDGE)
+        settled = _state(rest, state["base"], state["slope"], state["held"], _with(state, item, x >= 0.5))
+        alone = _state(rest, state["base"], state["slope"], item.withField("x", x), state["done"])
+        rise, fall = F.least(size * (1 - x), mass), F.least(size * x, room - mass)
+        up = _chance(F.lit(SEED), item["who"], item["salt"], room) * (rise + fall) < fall
+        moved = F.when(up, rise).otherwise(-fall)
+        exchanged = let(F.struct(moved.alias("moved"), (x + moved / size).alias("now")), lambda e: after(v, e, rest))
+        return F.when(whole, settled).when(room <= 0, alone).otherwise(exchanged)
 
-ITEM = "struct<size:bigint,who:bigint,salt:bigint,row:bigint,x:double>"
-STATE = f"struct<held:{ITEM},done:array<struct<row:bigint,up:boolean>>>"
+    def after(v: Column, e: Column, rest: Column) -> Column:
+        left, room = v["mass"] - e["moved"], v["room"]
+        t = F.when(e["moved"] > 0, left / v["mass"]).otherwise((room - left) / (room - v["mass"]))
+        t = F.greatest(F.lit(0.0), F.coalesce(t, F.lit(1.0)))
+        gain = F.when(e["moved"] > 0, F.lit(0.0)).otherwise(1 - t)
+        whole = (e["now"] <= EDGE) | (e["now"] >= 1 - EDGE)
+        held = F.when(whole, state["held"]).otherwise(item.withField("x", e["now"]))
+        done = F.when(whole, _with(state, item, e["now"] >= 0.5)).otherwise(state["done"])
+        return _state(rest, gain + t * state["base"], t * state["slope"], held, done)
 
+    x = F.least(F.lit(1.0), F.greatest(F.lit(0.0), state["base"] + state["slope"] * item["x"]))
+    room = state["words"] - size
+    mass = state["base"] * room + state["slope"] * (state["mass"] - size * item["x"])
+    mass = F.least(room.cast("double"), F.greatest(F.lit(0.0), mass))
+    return let(F.struct(x.alias("x"), room.alias("room"), mass.alias("mass")), turn)
 
-def _reduce(items: DataFrame) -> DataFrame:
-    """``source, n, s``: per block the decided documents and the one left."""
-    blocks = items.groupBy("source", "n", "block").agg(F.sort_array(F.collect_list("item"), asc=False).alias("its"))
 
-    def step(state: Column, new: Column) -> Column:
-        def settled(v: Column) -> Column:
-            done = F.concat(state["done"], F.array(F.struct(v["row"].alias("row"), v["up"].alias("up"))))
-            return F.struct(v["left"].alias("held"), done.alias("done"))
+def _with(state: Column, item: Column, up: Column) -> Column:
+    return F.concat(state["done"], F.array(F.struct(item["row"].alias("row"), up.alias("up"))))
 
-        first = F.struct(new.alias("held"), state["done"].alias("done"))
-        return F.when(state["held"].isNull(), first.cast(STATE)).otherwise(let(_exchange(state["held"], new), settled).cast(STATE))
 
-    start = F.struct(F.lit(None).alias("held"), F.array().alias("done")).cast(STATE)
-    return blocks.select("source", "n", F.aggregate("its", start, step).alias("s"))
+def _state(rest: Column, base: Column, slope: Column, held: Column, done: Column) -> Column:
+    parts = {"words": rest["words"], "mass": rest["mass"], "base": base, "slope": slope, "held": held, "done": done}
+    return F.struct(*[c.alias(name) for name, c in parts.items()]).cast(STATE)
+
+
+def _reduce(items: DataFrame) -> DataFrame:
+    """``source, n, s``: per block the decided documents and the one left."""
+    blocks = items.groupBy("source", "n", "block").agg(F.sort_array(F.collect_list("item"), asc=False).alias("its"))
+    words = F.aggregate("its", F.lit(0).cast("long"), lambda a, i: a + i["size"])
+    mass = F.aggregate("its", F.lit(0.0), lambda a, i: a + i["size"] * i["x"])
+    rest = F.struct(words.alias("words"), mass.alias("mass"))
+    start = _state(rest, F.lit(0.0), F.lit(1.0), F.lit(None), F.array())
+    return blocks.select("source", "n", F.aggregate("its", start, _step).alias("s"))
 
 
 def rounded(rows: DataFrame) -> DataFrame:
@@ -135,7 +154,7 @@ def rounded(rows: DataFrame) -> DataFrame:
         block = F.pmod(F.xxhash64(F.lit(SEED + level), "item.who", "item.salt"), parts)
         state = materialize(_reduce(items.withColumn("block", block)), f"residuals-{level}")
         done.append(state.select(F.explode("s.done").alias("d")).select("d.*"))
-        items = state.select("source", "n", F.col("s.held").alias("item"))
+        items = state.select("source", "n", F.col("s.held").alias("item")).filter("item IS NOT NULL")
         if most <= FAN**level:
             break
     done.append(items.select("item.row", (F.col("item.x") >= 0.5).alias("up")))

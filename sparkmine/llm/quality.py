@@ -41,7 +41,7 @@ REACH = 3.0
 FEWEST = 200
 
 # A ratio up to this is never held against a document.
-FLOORS = {"symbol_ratio": 0.10, "repeat_ratio": 0.25, "dup_line_ratio": 0.30, "mean_chars": 12.0}
+FLOORS = {"symbol_ratio": 0.10, "repeat_ratio": 0.25, "dup_line_ratio": 0.50, "mean_chars": 12.0}
 LOWEST_MEAN_CHARS = 2.5
 
 # Fixed values of the base rules and of the characters they count.
