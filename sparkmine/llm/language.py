@@ -39,6 +39,7 @@ ROUNDS = 25
 REGULARISATION = 1e-3
 SLICE = 1 << 20  # bytes of a text that are turned into features at once
 UNKNOWN = "und"
+LEAST_SCORE = 0.25  # below this a text counts as in no known language
 
 # Language family by ISO 639-1 code. A code that is not listed is
 # a family of its own.
@@ -184,9 +185,12 @@ def recognised(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, with all their columns, that are in a known language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    def known(text: str) -> bool:
+        language, score = shared.value.predict(text)
+        return language != UNKNOWN and score >= LEAST_SCORE
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [t is not None and shared.value.predict(t)[0] != UNKNOWN for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array([known(t) for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.filter(has_letter(F.col("text").cast("string"))).mapInArrow(run, docs.schema)

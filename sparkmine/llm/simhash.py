@@ -157,20 +157,32 @@ def links(fps: DataFrame) -> DataFrame:
     return pairs.union(starred).distinct()
 
 
+def _rooted(marked: DataFrame) -> DataFrame:
+    """``fp, root`` of every fingerprint of ``marked``."""
+    nodes = materialize(marked.select("fp").distinct(), "nodes")
+    roots = components(links(nodes))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest id among all documents that
     chains of near-duplicates connect."""
     marked = materialize(docs.select("doc_id", fingerprints(F.col("text")).alias("fp")), "fingerprints")
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = materialize(_rooted(marked), "roots")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = rooted.join(least, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class: that with the smallest id (rows that repeat
-    that id count as one document). Returns the columns of ``docs``. Documents
-    without an id form classes only among themselves."""
-    first = classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["kept_id"])).select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
+    """One document of each class, with all its columns: that with the smallest
+    id; of rows that repeat the id, one."""
+    number = "row_number"
+    while number in docs.columns:
+        number += "_"
+    numbered = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    marked = numbered.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(number).alias("row")).alias("doc"), fingerprints(F.col("text")).alias("fp"))
+    marked = materialize(marked, "fingerprints")
+    first = marked.groupBy("fp").agg(F.min("doc").alias("doc")).join(_rooted(marked), "fp").groupBy("root").agg(F.min("doc").alias("doc"))
+    kept = first.select(F.col("doc.row").alias(number))
+    return numbered.join(kept, number).select(*[numbered[c] for c in docs.columns])
