@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.llm.quality import let
+from sparkmine.llm.tables import placed
 from sparkmine.operators.ratings import index_ids
 from sparkmine.plans.workspace import materialize
 
@@ -41,13 +42,15 @@ EDGE = 1e-9  # a fraction this near to a whole number is whole
 WORD = r"[^ \t\n\x0B\f\r]+"
 
 
-def sizes(docs: DataFrame, row: Column) -> DataFrame:
-    """``doc_id, source, size, row``, written down; ``row`` tells rows apart."""
+def sizes(docs: DataFrame, place: Column | None = None) -> DataFrame:
+    """``doc_id, source, size, row`` and ``place``, written down; ``row`` tells
+    rows apart."""
     counted = docs.select(
         "doc_id",
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        row.alias("row"),
+        F.monotonically_increasing_id().alias("row"),
+        (F.lit(None).cast("long") if place is None else place).alias("place"),
     )
     return materialize(counted, "sizes")
 
@@ -164,11 +167,11 @@ def rounded(rows: DataFrame) -> DataFrame:
     return out
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, row: str | None = None) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, copies, row``: how often
-    each document is taken and the words that makes. ``row`` names a column
-    that numbers the rows; without one they are numbered here."""
-    rows = sizes(docs, F.col(row) if row else F.monotonically_increasing_id())
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, place: Column | None = None) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, copies, place``: how often
+    each document is taken and the words that makes; ``place`` is what that
+    expression says of the row."""
+    rows = sizes(docs, place)
     goals = targets(rows, weights, most)
     goals = goals.select(F.col("source").alias("goal_source"), "n", "source_size", "target")
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -181,16 +184,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, r
     bits = rounded(open_rows).select(F.col("row").alias("bit_row"), "up")
     copies = F.col("whole") + F.coalesce(F.col("up").cast("long"), F.lit(0))
     decided = joined.join(bits, F.col("row") == F.col("bit_row"), "left").withColumn("copies", copies)
-    return decided.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "row")
-
-
-def mixed(docs: DataFrame) -> DataFrame:
-    """The documents, each as often as the mix takes it, with all columns."""
-    number = "mix_row"
-    while number in docs.columns:
-        number += "_"
-    numbered = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "to-mix")
-    taken = mix(numbered, row=number).filter("copies > 0").select(F.col("row").alias("taken_row"), F.col("copies").cast("int").alias("times"))
-    packed = numbered.select(F.struct(*[numbered[c] for c in docs.columns]).alias("doc"), numbered[number].alias("row"))
-    joined = packed.join(taken, F.col("row") == F.col("taken_row"))
+    return decided.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "place")
+
+
+def mixed(docs: DataFrame, place: Column | None = None) -> DataFrame:
+    """The documents, each as often as the mix takes it, with all columns.
+    ``place`` as for ``tables.placed``."""
+    docs, place, names = placed(docs, place)
+    taken = mix(docs, place=place).filter("copies > 0").select(F.col("place").alias("taken"), F.col("copies").cast("int").alias("times"))
+    packed = docs.select(F.struct(*names).alias("doc"), place.alias("place"))
+    joined = packed.join(taken, F.col("place") == F.col("taken"))
     return joined.select("doc", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")

@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.llm.components import components
+from sparkmine.llm.tables import placed
 from sparkmine.plans.workspace import materialize
 
 SEED = 42
@@ -174,15 +175,13 @@ def classes(docs: DataFrame) -> DataFrame:
     return marked.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, place: Column | None = None) -> DataFrame:
     """One document of each class, with all its columns: that with the smallest
-    id; of rows that repeat the id, one."""
-    number = "row_number"
-    while number in docs.columns:
-        number += "_"
-    numbered = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    marked = numbered.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(number).alias("row")).alias("doc"), fingerprints(F.col("text")).alias("fp"))
-    marked = materialize(marked, "fingerprints")
+    id; of rows that repeat the id, one. ``place`` is an expression that names
+    each row the same in every scan; without one, a numbered copy is written."""
+    docs, place, names = placed(docs, place)
+    doc = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), place.alias("place")).alias("doc")
+    marked = materialize(docs.select(doc, fingerprints(F.col("text")).alias("fp")), "fingerprints")
     first = marked.groupBy("fp").agg(F.min("doc").alias("doc")).join(_rooted(marked), "fp").groupBy("root").agg(F.min("doc").alias("doc"))
-    kept = first.select(F.col("doc.row").alias(number))
-    return numbered.join(kept, number).select(*[numbered[c] for c in docs.columns])
+    packed = docs.select(F.struct(*names).alias("doc"), place.alias("place"))
+    return packed.join(first.select(F.col("doc.place").alias("kept")), F.col("place") == F.col("kept")).select("doc.*")
