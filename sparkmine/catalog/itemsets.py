@@ -62,7 +62,7 @@ def _support(spark: SparkSession, sf_dir: str) -> int:
     return math.ceil(Fraction(SUPPORT_SHARE) * n)
 
 
-def _found(spark: SparkSession, sf_dir: str, max_len: int | None = None, method: str = "auto") -> DataFrame:
+def _found(spark: SparkSession, sf_dir: str, max_len: int | None = None, method: str = "fpgrowth") -> DataFrame:
     return itemsets.frequent_itemsets(fx.baskets(spark, sf_dir), _support(spark, sf_dir), max_len, method)
 
 

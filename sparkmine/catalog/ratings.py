@@ -43,6 +43,8 @@ ranked AS (
   WHERE t.item_id IN (SELECT item_id FROM fx_train)),
 near AS (SELECT * FROM ranked WHERE rank <= 10)
 """
+FRACTIONAL_SQL = """SELECT user_id, item_id,
+  CASE WHEN item_id % 7 = 0 THEN 4.3::DOUBLE ELSE rating * 0.1::DOUBLE + 0.33::DOUBLE END AS rating FROM fx_train"""
 PREDICT = NEAR + """,
 score AS (
   SELECT user_id, item_id, sum(rating * corr) AS num, sum(abs(corr)) AS den FROM near GROUP BY 1, 2),
@@ -109,9 +111,18 @@ def cf_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_knn.item_pearson(_train(spark, sf_dir))
 
 
+def cf_pearson_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlations of small fractional ratings; one item is rated 4.3 by all."""
+    train = fx.train(spark, sf_dir)
+    odd = F.when(F.col("item_id") % 7 == 0, F.lit(4.3)).otherwise(F.col("rating") * 0.1 + 0.33)
+    corr = item_knn.item_pearson(materialize(train.withColumn("rating", odd), "fractional"))
+    return corr.withColumn("corr", F.round("corr", 6) + 0.0)
+
+
 def cf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = _train(spark, sf_dir)
-    return item_knn.neighbours(_test(spark, sf_dir), train, item_knn.item_pearson(train))
+    test = _test(spark, sf_dir)
+    return item_knn.neighbours(test, train, item_knn.item_pearson(train, targets=test))
 
 
 def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,18 +134,14 @@ def cf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rpt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions from the user means, as report rows in order."""
-    means = ratings.mean_by(fx.train(spark, sf_dir), "user_id", out="prediction")
-    pred = fx.test(spark, sf_dir).join(means, "user_id")
-    return format_predictions(pred).withColumn("prediction", F.round("prediction", 6))
+    """Predictions for all test pairs, as report rows in order."""
+    return format_predictions(_predicted(spark, sf_dir)).withColumn("prediction", F.round("prediction", 6))
 
 
 def join_actual_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test ratings beside predictions that exist for known users only."""
-    test = fx.test(spark, sf_dir)
-    means = ratings.mean_by(fx.train(spark, sf_dir), "user_id", out="prediction")
-    pred = test.select("user_id", "item_id").join(means, "user_id")
-    return ratings.join_predictions(test, pred).withColumn("prediction", F.round("prediction", 6))
+    """Test ratings beside their predictions."""
+    pred = materialize(_predicted(spark, sf_dir).select("user_id", "item_id", "prediction"), "predictions")
+    return ratings.join_predictions(_test(spark, sf_dir), pred).withColumn("prediction", F.round("prediction", 6))
 
 
 def eval_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +176,7 @@ QUERIES = {
         idx_users,
         cf_co_raters,
         cf_pearson,
+        cf_pearson_fractional,
         cf_neighbours,
         cf_predict,
         rpt_predictions,
@@ -180,8 +188,6 @@ QUERIES = {
     )
 }
 
-_USER_MEAN = "(SELECT user_id, avg(rating) AS m FROM fx_train GROUP BY 1) u"
-
 SQL = {
     "src_ratings": f"""WITH {FX} SELECT CAST(user_id AS VARCHAR) AS user_id,
 CAST(item_id AS VARCHAR) AS item_id, rating FROM fx_train""",
@@ -203,10 +209,13 @@ FROM (SELECT DISTINCT user_id FROM fx_train) t""",
 FROM near WHERE corr <> 0""",
     "cf_predict": f"""WITH {PREDICT} SELECT user_id, item_id, rating, round(prediction, 6) AS prediction
 FROM predicted""",
-    "rpt_predictions": f"""WITH {FX} SELECT t.user_id, t.item_id, round(u.m, 6) AS prediction
-FROM fx_test t JOIN {_USER_MEAN} ON t.user_id = u.user_id""",
-    "join_actual_pred": f"""WITH {FX} SELECT t.user_id, t.item_id, t.rating, round(u.m, 6) AS prediction
-FROM fx_test t JOIN {_USER_MEAN} ON t.user_id = u.user_id""",
+    "rpt_predictions": f"WITH {PREDICT} SELECT user_id, item_id, round(prediction, 6) AS prediction FROM predicted",
+    "join_actual_pred": f"WITH {PREDICT} SELECT user_id, item_id, rating, round(prediction, 6) AS prediction FROM predicted",
+    "cf_pearson_fractional": f"""WITH {FX}, odd AS ({FRACTIONAL_SQL})
+SELECT a.item_id AS item_a, b.item_id AS item_b, count(*) AS n_co,
+  CASE WHEN min(a.rating) = max(a.rating) OR min(b.rating) = max(b.rating) THEN CAST(0 AS DOUBLE)
+    ELSE round(corr(a.rating, b.rating), 6) + 0.0 END AS corr
+FROM odd a JOIN odd b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2 HAVING count(*) > 1""",
     "eval_histogram": f"""WITH {PREDICT}
 SELECT b.bucket, count(p.rating) AS n
 FROM (SELECT CAST(unnest([0, 1, 2, 3, 4]) AS BIGINT) AS bucket) b

@@ -147,7 +147,7 @@ SQL = {
     "fn_post_features": rf"""WITH {FX},
 body AS (SELECT pos AS id, text || ' #' || tag || ' #' || string_split(text, ' ')[1] AS text FROM fx_tags)
 SELECT id, CAST(length(text) AS INTEGER) AS n_chars,
-  array_to_string(regexp_extract_all(text, '#(\w+)', 1), ' ') AS tag_list FROM body""",
+  array_to_string(regexp_extract_all(text, '#([\p{{L}}\p{{M}}\p{{N}}_]+)', 1), ' ') AS tag_list FROM body""",
     "fn_bloom_bits": f"""WITH {FX} SELECT pos, {_HASH.format(x="tag")} % 10 AS bit_1,
 {_HASH.format(x="tag")} % 30 AS bit_2 FROM fx_tags""",
     "sample_reservoir": f"WITH {SAMPLE} SELECT id, text FROM sample",

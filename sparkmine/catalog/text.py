@@ -52,14 +52,15 @@ def _lloyd_sql(vectors: str, k: int, iters: int) -> str:
     ]
     for i in range(iters + 1):
         ctes.append(f"""a{i} AS (
-  SELECT id, arg_min(cluster, rank) AS cluster, arg_min(dist, rank) AS dist FROM (
+  SELECT id, min(cluster) AS cluster, arg_min(dist, cluster) AS dist
+  FROM (SELECT *, min(dist) OVER (PARTITION BY id) AS least FROM (
     SELECT n.id, l.cluster, greatest(n.sq - 2 * coalesce(d.dot, 0) + coalesce(s.sq, 0), 0) AS dist,
-      round(greatest(n.sq - 2 * coalesce(d.dot, 0) + coalesce(s.sq, 0), 0), 6) + l.cluster * 1e-9 AS rank
+      n.sq + coalesce(s.sq, 0) AS scale
     FROM norms n CROSS JOIN l{i} l
     LEFT JOIN (SELECT v.id, c.cluster, sum(v.val * c.val) AS dot FROM v JOIN c{i} c ON c.idx = v.idx GROUP BY 1, 2) d
       ON d.id = n.id AND d.cluster = l.cluster
-    LEFT JOIN (SELECT cluster, sum(val * val) AS sq FROM c{i} GROUP BY 1) s ON s.cluster = l.cluster) x
-  GROUP BY id)""")
+    LEFT JOIN (SELECT cluster, sum(val * val) AS sq FROM c{i} GROUP BY 1) s ON s.cluster = l.cluster) x) y
+  WHERE dist <= least + 1e-9 * scale GROUP BY id)""")
         if i < iters:
             ctes.append(f"l{i + 1} AS (SELECT cluster, count(*) AS size FROM a{i} GROUP BY 1)")
             ctes.append(f"""c{i + 1} AS (SELECT a.cluster, v.idx, sum(v.val) / any_value(l.size) AS val

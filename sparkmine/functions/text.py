@@ -32,8 +32,9 @@ def tokens(c: str | Column) -> Column:
 
 
 def hashtags(c: str | Column) -> Column:
-    """Words behind a ``#``, in order of appearance, repeats kept."""
-    return F.regexp_extract_all(_col(c), F.lit(r"#(\w+)"), 1)
+    """Words behind a ``#``, in order of appearance, repeats kept: letters,
+    marks and digits of any script, and ``_``."""
+    return F.regexp_extract_all(_col(c), F.lit(r"#([\p{L}\p{M}\p{N}_]+)"), 1)
 
 
 def tracked(c: str | Column, word: str) -> Column:

@@ -2,7 +2,9 @@
 
 Similarity is Pearson correlation over the users who rated both items. It is
 built from sums (count, x, y, xx, yy, xy), so any part of the work can be
-added to any other part.
+added to any other part. Ratings are first reduced by their item's mean,
+rounded down: whole and half stars stay exact, and a large offset does not
+drown the differences.
 
 How the work is kept in bounds without leaving a pair out:
 
@@ -31,7 +33,10 @@ NEIGHBOURS = 10
 DEFAULT_RATING = 3.0
 
 LIGHT_HISTORY = 1000
-EPS = 1e-9  # sums of ratings below this are zero
+# Zero is judged against the size of what was summed, so ratings of any scale
+# and offset behave alike.
+ROUNDING = 1e-11  # share of a sum of squares that rounding may leave of nothing
+LEAST_CORR = 1e-9  # correlations nearer to zero are zero
 CORR_DIGITS = 12  # ties are ties at this precision
 
 SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
@@ -58,15 +63,17 @@ def _long_users(train: DataFrame, light: int) -> DataFrame:
 def _marked(train: DataFrame, targets: DataFrame | None) -> DataFrame:
     """Ratings that can matter, with a mark on those of target items. An item
     with a single rater cannot have two co-raters with any other item."""
-    raters = train.groupBy("item_id").agg(F.count("*").alias("raters")).filter("raters > 1").select("item_id")
+    raters = train.groupBy("item_id").agg(F.count("*").alias("raters"), F.floor(F.avg("rating")).alias("centre"))
+    raters = raters.filter("raters > 1").select("item_id", "centre")
     if targets is None:
         items = raters.withColumn("wanted", F.lit(True))
     else:
         wanted = targets.select("item_id").distinct().withColumn("wanted", F.lit(True))
         items = raters.join(wanted, "item_id", "left").select(
-            "item_id", F.coalesce("wanted", F.lit(False)).alias("wanted")
+            "item_id", "centre", F.coalesce("wanted", F.lit(False)).alias("wanted")
         )
-    return train.select("user_id", "item_id", "rating").join(items, "item_id")
+    rating = (F.col("rating") - F.col("centre")).alias("rating")
+    return train.select("user_id", "item_id", "rating").join(items, "item_id").select("user_id", "item_id", rating, "wanted")
 
 
 def _pair_sums(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
@@ -156,10 +163,13 @@ def _pearson() -> Column:
     cov = n * sxy - sx * sy
     vx = n * sxx - sx * sx
     vy = n * syy - sy * sy
-    flat = (F.abs(cov) < EPS) | (vx < EPS) | (vy < EPS)
-    # nullif keeps the division from failing on rows the guard sends to zero.
-    ratio = cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0))
-    return F.when(flat, F.lit(0.0)).otherwise(F.round(ratio, CORR_DIGITS))
+    flat = (vx <= ROUNDING * n * sxx) | (vy <= ROUNDING * n * syy)
+    # nullif keeps the division from failing on rows the guard sends to zero;
+    # two roots, since a product of small variances would underflow.
+    spread = F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))
+    ratio = cov / F.nullif(spread, F.lit(0.0))
+    zero = flat | (spread == 0) | (F.abs(ratio) < LEAST_CORR)
+    return F.when(zero, F.lit(0.0)).otherwise(F.round(ratio, CORR_DIGITS))
 
 
 def item_pearson(
@@ -178,7 +188,7 @@ def _self_pairs(train: DataFrame) -> DataFrame:
     return (
         train.groupBy("item_id")
         .agg(spread.alias("spread"))
-        .filter(F.col("spread") > EPS)
+        .filter(F.col("spread") > 0)
         .select(F.col("item_id").alias("item_a"), F.col("item_id").alias("item_b"), F.lit(1.0).alias("corr"))
     )
 
@@ -272,9 +282,11 @@ def item_knn_predict(
     corr = item_pearson(train, light, test)
     near = neighbours(test, train, corr, k, light)
     score = near.groupBy("user_id", "item_id").agg(
-        F.sum(F.col("rating") * F.col("corr")).alias("num"), F.sum(F.abs("corr")).alias("den")
+        F.sum(F.col("rating") * F.col("corr")).alias("num"),
+        F.sum(F.abs("corr")).alias("den"),
+        F.sum(F.abs(F.col("rating") * F.col("corr"))).alias("size"),
     )
-    usable = (F.abs("num") > EPS) & (F.abs("den") > EPS)
+    usable = (F.abs("num") > ROUNDING * F.col("size")) & (F.col("den") > 0)
     score = score.select(
         "user_id", "item_id", F.when(usable, F.col("num") / F.nullif(F.col("den"), F.lit(0.0))).alias("score")
     )

@@ -41,7 +41,8 @@ def term_frequency(words: DataFrame) -> DataFrame:
 def _counted(docs: DataFrame, words: Column) -> DataFrame:
     """The distinct values of ``words`` in order and how often each occurs, as
     ``(doc_id, idx, val)``. Worked out inside the row; nothing is moved."""
-    ordered = docs.select("doc_id", F.sort_array(words).alias("all"))
+    ordered = docs.select("doc_id", F.sort_array(words).alias("all"))  # null text has no words
+    ordered = ordered.withColumn("all", F.coalesce("all", F.array().cast(ordered.schema["all"].dataType)))
     ends = F.transform("all", lambda w, i: F.when(F.coalesce(w != F.get("all", i + 1), F.lit(True)), i + 1))
     ends = ordered.select("doc_id", "all", F.filter(ends, lambda e: e.isNotNull()).alias("ends"))
     runs = F.transform("ends", lambda e, i: (e - F.coalesce(F.get("ends", i - 1), F.lit(0))).cast("double"))
@@ -102,7 +103,12 @@ def _weighted(weights: DataFrame, num_features: int) -> Column:
     @F.pandas_udf("array<double>")
     def weighted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for idx, val in batches:
-            yield pd.Series([v * held.value[i] for i, v in zip(idx, val)])
+            sizes = idx.str.len().to_numpy(dtype=np.int64)
+            if sizes.sum():
+                flat = np.concatenate(val.to_numpy()) * held.value[np.concatenate(idx.to_numpy())]
+                yield pd.Series(np.split(flat, np.cumsum(sizes)[:-1]))
+            else:
+                yield val
 
     return weighted("idx", "val")
 
@@ -128,8 +134,9 @@ def ml_tfidf(docs: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
     Slots that are the same in every document, above all the unused ones, do
     not change any distance and are cut out: the solvers sum dense vectors.
     """
-    words = docs.select(F.col("doc_id").alias("id"), tokens("text").alias("words"))
+    words = docs.select(F.col("doc_id").alias("id"), F.coalesce(tokens("text"), F.array().cast("array<string>")).alias("words"))
     tf = HashingTF(inputCol="words", outputCol="all", numFeatures=num_features).transform(words)
+    tf = materialize(tf.select("id", "all"), "hashed")  # words are hashed once
     used = VarianceThresholdSelector(featuresCol="all", outputCol="tf", varianceThreshold=0.0)
     tf = materialize(used.fit(tf).transform(tf).select("id", "tf"), "ml-tf")
     return IDF(inputCol="tf", outputCol="features").fit(tf).transform(tf).select("id", "features")

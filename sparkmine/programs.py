@@ -39,8 +39,8 @@ def salary_statistics(spark: SparkSession, source: str, target: str) -> None:
 
 
 def _last_per_pair(rows: DataFrame) -> DataFrame:
-    placed = rows.withColumn("line", F.monotonically_increasing_id())
-    return ratings.dedup_last(placed, ["user_id", "item_id"], "rating", ["line"])
+    """The last rating of each pair, by file name and line."""
+    return ratings.dedup_last(rows, ["user_id", "item_id"], "rating", ["place"])
 
 
 def predict_by_factors(spark: SparkSession, train: str, test: str, target: str, **settings) -> DataFrame:
@@ -48,13 +48,14 @@ def predict_by_factors(spark: SparkSession, train: str, test: str, target: str,
     known, asked = (readers.read_ratings(configure(spark), p) for p in (train, test))
     pred = materialize(als.als_predict(known, asked, **settings), "predictions")
     sinks.write_predictions(pred, target)
-    return ratings.evaluate(pred)
+    # Every actual rating meets every prediction of its pair.
+    return ratings.evaluate(ratings.join_predictions(asked, pred.select("user_id", "item_id", "prediction")))
 
 
 def predict_by_items(spark: SparkSession, train: str, test: str, target: str, **settings) -> DataFrame:
     """Item-neighbour predictions to ``target``; returns the error figures."""
     known, asked = (
-        materialize(_last_per_pair(readers.read_ratings(configure(spark), p)), "ratings") for p in (train, test)
+        materialize(_last_per_pair(readers.read_placed_ratings(configure(spark), p)), "ratings") for p in (train, test)
     )
     pred = materialize(item_knn.item_knn_predict(known, asked, **settings), "predictions")
     sinks.write_predictions(pred, target)

@@ -1,5 +1,5 @@
 """Batch and stream readers. Schemas are fixed, so no reader scans its input
-to find out about it."""
+to find out about it; only the survey's header line is looked at."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from sparkmine.functions.text import tracked
 SURVEY_SCHEMA = "country STRING, salary STRING, salary_type STRING"
 # Column names of the survey file, by our names.
 SURVEY_COLUMNS = {"country": "Country", "salary": "Salary", "salary_type": "SalaryType"}
-RATINGS_SCHEMA = "user_id STRING, item_id STRING, rating DOUBLE"
+RATINGS_SCHEMA = "user_id STRING, item_id STRING, rating STRING"
 BASKETS_SCHEMA = "basket STRING, item STRING"
 POSTS_SCHEMA = "id BIGINT, ts TIMESTAMP, text STRING, tags ARRAY<STRING>"
 TRACK_WORD = "Data"  # fixed value: word that posts must mention
@@ -25,23 +25,29 @@ def read_survey(spark: SparkSession, path: str, columns: dict[str, str] = SURVEY
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Ratings from CSV with a header: user, item, rating. A rating that is no
-    number stops the read."""
-    return (
-        spark.read.schema(RATINGS_SCHEMA)
-        .options(header=True, mode="FAILFAST", enforceSchema=True)
-        .csv(path)
-    )
+    """Ratings from CSV with a header: user, item, rating; further fields are
+    ignored. A rating that is no number stops the read."""
+    return read_placed_ratings(spark, path).drop("place")
+
+
+def read_placed_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """Ratings with their ``place``, which grows with file name and line."""
+    raw = spark.read.schema(RATINGS_SCHEMA).options(header=True, enforceSchema=True).csv(path)
+    fault = F.raise_error(F.concat(F.lit("malformed rating: "), F.coalesce("rating", F.lit("none"))))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    rating = F.coalesce(F.col("rating").try_cast("double"), fault.cast("double"))
+    return raw.select("user_id", "item_id", rating.alias("rating"), place.alias("place"))
 
 
 def read_baskets(spark: SparkSession, path: str) -> DataFrame:
-    """``basket,item`` lines without a header."""
-    return spark.read.schema(BASKETS_SCHEMA).csv(path)
+    """``basket,item`` lines without a header; a line that lacks either is no
+    item of a basket and is left out."""
+    return spark.read.schema(BASKETS_SCHEMA).csv(path).filter("basket IS NOT NULL AND item IS NOT NULL")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One document per line. Ids follow file and line order and are unique,
-    not consecutive."""
+    """One document per line. Ids are unique, not consecutive, and grow with
+    the lines of a file."""
     lines = spark.read.text(path)
     return lines.select(F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text"))
 

@@ -23,15 +23,21 @@ def _folder(path: str, name: str, batch_id: int) -> str:
 
 def read(spark: SparkSession, path: str, name: str, batch_id: int, schema: str) -> DataFrame:
     """Rows that batch ``batch_id`` wrote to table ``name``; none before the
-    first batch."""
-    full = f"{schema}, batch_id BIGINT"
-    if batch_id >= 0:
-        try:
-            rows = spark.read.schema(full).parquet(_folder(path, name, batch_id))
-            return rows.filter(F.col("batch_id") == batch_id).drop("batch_id")
-        except AnalysisException:  # nothing written yet
-            pass
-    return spark.createDataFrame([], schema)
+    first batch. State that a batch must have left and that cannot be read
+    stops the stream: going on from nothing would lose all earlier posts."""
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(_folder(path, name, batch_id))
+    held = rows.agg(F.max("batch_id")).first()[0]
+    if held is not None and held != batch_id:
+        raise RuntimeError(f"{path}: {name} holds batch {held}, not {batch_id}")
+    return rows.drop("batch_id")
+
+
+def schema_of(spark: SparkSession, path: str, name: str, batch_id: int) -> str:
+    """Columns of table ``name`` as batch ``batch_id`` left it."""
+    fields = spark.read.parquet(_folder(path, name, batch_id)).drop("batch_id").schema.fields
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
 
 
 def write(df: DataFrame, path: str, name: str, batch_id: int) -> None:
@@ -45,7 +51,9 @@ def last_batch(spark: SparkSession, path: str, name: str) -> int:
     for turn in (0, 1):
         try:
             rows = spark.read.schema("batch_id BIGINT").parquet(_folder(path, name, turn))
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
         found = max(found, rows.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0])
     return found

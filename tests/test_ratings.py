@@ -176,3 +176,26 @@ def test_top_k_cuts_groups_on_the_map_side(spark):
     cut = top_k(df, ["g"], [F.desc("id")], 3)
     assert plan_of(cut).count("WindowGroupLimit") == 2
     assert cut.count() == 6
+
+
+@pytest.mark.parametrize("scale, offset", [(1e-6, 0.0), (1.0, 0.0), (0.1, 0.33), (1.0, 1e5)])
+def test_correlation_and_prediction_follow_scale_and_offset(spark, scale, offset):
+    rng = random.Random(6)
+    base = [(u, i, rng.randint(1, 5)) for u in range(40) for i in range(12) if rng.random() < 0.6]
+    plain = spark.createDataFrame([(u, i, float(r)) for u, i, r in base], "user_id INT, item_id INT, rating DOUBLE")
+    other = plain.withColumn("rating", F.col("rating") * scale + offset)
+    want = {(r.item_a, r.item_b): r.corr for r in item_knn.item_pearson(plain).collect()}
+    got = {(r.item_a, r.item_b): r.corr for r in item_knn.item_pearson(other).collect()}
+    assert got == pytest.approx(want, abs=1e-5)
+    if not offset:
+        test = spark.createDataFrame([(u, i, 1.0) for u in range(41) for i in range(12)], "user_id INT, item_id INT, rating DOUBLE")
+        a = {(r.user_id, r.item_id): r.prediction for r in item_knn.item_knn_predict(plain, test, default=3.0).collect()}
+        b = {(r.user_id, r.item_id): r.prediction / scale for r in item_knn.item_knn_predict(other, test, default=3.0 * scale).collect()}
+        assert b == pytest.approx(a, rel=1e-6)
+
+
+def test_item_with_equal_fractional_ratings(spark):
+    """5,000 users give one item 4.3: it correlates with nothing."""
+    rows = [(u, i, 4.3 if i else 0.1 * (u % 7)) for u in range(5000) for i in (0, 1)]
+    train = spark.createDataFrame(rows, "user_id INT, item_id INT, rating DOUBLE")
+    assert [r.corr for r in item_knn.item_pearson(train).collect()] == [0.0]

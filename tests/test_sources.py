@@ -45,3 +45,21 @@ def test_predictions_are_written_in_order(spark, tmp_path):
     sinks.write_predictions(pred, str(tmp_path / "p"))
     lines = [r.value for r in spark.read.text(str(tmp_path / "p")).collect()]
     assert lines == ["a,y,4.0", "a,z,3.0", "b,x,2.5"]
+
+
+def test_ratings_with_more_fields(spark, tmp_path, rows):
+    path = put(tmp_path / "w.csv", "user,item,stars,time,note\nu1,i1,4.5,99,a\nu2,i1,3,98,\n")
+    assert rows(readers.read_ratings(spark, path)) == [("u1", "i1", 4.5), ("u2", "i1", 3.0)]
+
+
+def test_last_rating_in_file_and_line_order(spark, tmp_path, rows):
+    from sparkmine.programs import _last_per_pair
+
+    put(tmp_path / "a.csv", "user,item,stars\nu,i,1\nu,j,1\nu,j,2\n")
+    put(tmp_path / "b.csv", "user,item,stars\n" + "x,y,3\n" * 500 + "u,i,5\n")
+    assert rows(_last_per_pair(readers.read_placed_ratings(spark, str(tmp_path)))) == [("u", "i", 5.0), ("u", "j", 2.0), ("x", "y", 3.0)]
+
+
+def test_short_basket_lines_hold_nothing(spark, tmp_path, rows):
+    path = put(tmp_path / "w.csv", "0,good\n1\n2,\n,x\n")
+    assert rows(readers.read_baskets(spark, path)) == [("0", "good")]

@@ -152,9 +152,36 @@ def test_a_batch_run_again_leaves_the_same_state(spark, posts, tmp_path):
     stream = bloom_stream.tag_positions(posts)
     from sparkmine.streaming import state
 
-    for batch_id, part in [(0, stream.filter("pos < 100000000")), (1, stream.filter("pos >= 100000000"))] * 1:
+    schema = bloom_stream.classes_schema("STRUCT<id: BIGINT, ordinal: INT>")
+    for batch_id, part in [(0, stream.filter("pos.id < 100")), (1, stream.filter("pos.id >= 100"))]:
         for _ in range(2):  # second run of the same batch
-            before = state.read(spark, path, "classes", batch_id - 1, bloom_stream.CLASSES)
+            before = state.read(spark, path, "classes", batch_id - 1, schema)
             state.write(bloom.merge_classes(before, part), path, "classes", batch_id)
     want = tuple(bloom.bloom_report(stream).first())
     assert tuple(bloom_stream.read_score(spark, path).first()) == want
+
+
+def test_order_of_arrival_counts_and_ids_may_be_large(spark, tmp_path):
+    """Later batches with smaller ids, ids of 19 digits, tags in the text."""
+    rng = random.Random(3)
+    posts = [(1067094924124872705 - n, " ".join(f"#{rng.choice('abcdefgh')}é" for _ in range(5)) + " data") for n in range(60)]
+    folder, path, seen = tmp_path / "in", str(tmp_path / "s"), []
+    for upto in (20, 40, 60):
+        part = sorted(posts[upto - 20 : upto])
+        spark.createDataFrame(part, "id BIGINT, text STRING").coalesce(1).write.mode("append").parquet(str(folder))
+        stream = readers.read_posts_stream(spark, str(folder), schema="id BIGINT, text STRING", track="data")
+        bloom_stream.run_bloom_stream(bloom_stream.tag_positions(stream), path, available_now=True).awaitTermination()
+        seen += [t[1:] for _, text in part for t in text.split() if t.startswith("#")]
+    tags = with_slots(spark.createDataFrame([(t,) for t in seen], "tag STRING"), (10, 30))
+    assert tuple(bloom_stream.read_score(spark, path).first()) == one_by_one(tags)
+
+
+def test_lost_state_stops_the_stream(spark, tmp_path):
+    from sparkmine.streaming import state
+
+    assert state.read(spark, str(tmp_path), "seen", -1, "n BIGINT").count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        state.read(spark, str(tmp_path / "gone"), "seen", 5, "n BIGINT")
+    state.write(spark.createDataFrame([(1,)], "n BIGINT"), str(tmp_path), "seen", 3)
+    with pytest.raises(RuntimeError, match="batch 3"):
+        state.read(spark, str(tmp_path), "seen", 5, "n BIGINT")
