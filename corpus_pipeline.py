@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkmine.llm import decontaminate, language, mixing, simhash, tokens
 from sparkmine.llm.queries import TOKENIZER
-from sparkmine.llm.tables import prepare, table
+from sparkmine.llm.tables import file_place, prepare, table
 from sparkmine.plans.workspace import materialize, new_path
 
 
@@ -25,7 +25,7 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
     prepare(spark)
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, file_place())
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     prepare(spark)
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, file_place())
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
