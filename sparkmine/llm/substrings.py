@@ -165,8 +165,12 @@ def repeated(docs: DataFrame) -> DataFrame:
     sources = _packed(docs.filter("doc_id IS NOT NULL AND text IS NOT NULL"))
     sources = sources.join(asked, F.col("doc_id") == F.col("first")).select("doc_id", "packed", "paths")
     windows = materialize(sources.mapInArrow(_window_rows, "path long, place int, window long, doc long"), "windows")
-    least = windows.groupBy("window").agg(F.min("doc").alias("least"))
-    places = windows.join(least, "window").groupBy("path").agg(F.sort_array(F.collect_set(F.struct("place", "least"))).alias("places"))
+    # Windows of one path only are left out, and the rest is written first, so
+    # that the join deals both sides anew and a window of many paths is split.
+    least = windows.groupBy("window").agg(F.min("doc").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    least = materialize(least.select("window", "least"), "shared-windows")
+    place = F.struct("place", F.coalesce("least", "doc").alias("least"))
+    places = windows.join(least, "window", "left").groupBy("path").agg(F.sort_array(F.collect_set(place)).alias("places"))
     # Per distinct path: its smallest document and, where the graph branches,
     # the smallest document of every window.
     known = compact.select("path", "first").join(places, "path", "left")
