@@ -161,6 +161,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     found = materialize(rows.join(shared, "piece"), "paths")
     compact = materialize(found.groupBy("piece", "path").agg(F.min("doc").alias("first")), "compact")
     branching = compact.groupBy("piece").agg(F.count("*").alias("n")).filter("n > 1").select("piece")
+    branching = materialize(branching, "branching")  # so that the join deals both sides anew
     asked = compact.join(branching, "piece").groupBy("first").agg(F.collect_list("path").alias("paths"))
     sources = _packed(docs.filter("doc_id IS NOT NULL AND text IS NOT NULL"))
     sources = sources.join(asked, F.col("doc_id") == F.col("first")).select("doc_id", "packed", "paths")
