@@ -14,7 +14,7 @@ from sparkmine.sources import readers
 # Seeds of the clustering programs.
 LLOYD_SEED = 20181031
 ML_SEED = 42
-K, ITERS = 5, 3
+K, ITERS = 5, 20
 ML_K, ML_ITERS = 8, 20
 
 DOCS = """docs AS (SELECT doc_id, rtrim(lower(text), ' ') AS line, lower(text) AS text FROM documents),

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.hashing import SMALL_FILTER_SLOTS, slot, text_hash
@@ -126,18 +126,37 @@ def bloom_build(df: DataFrame, col: str, n_bits: int) -> DataFrame:
 
 
 def bloom_filter(df: DataFrame, col: str, bits: DataFrame, n_bits: int) -> DataFrame:
-    """Rows of ``df`` whose value may be in the filter. A filter within the
-    broadcast limit is sent to the tasks; a larger one is joined by word."""
-    side = F.broadcast(bits) if n_bits <= BROADCAST_BITS else bits
-    columns = df.columns
-    out = df.withColumn("_key", F.col(col))
-    for i, at in enumerate(_probes(n_bits)):
-        out = out.withColumn(f"_at{i}", at)
-    for i in range(PROBES):
-        word = side.select(F.col("word").alias(f"_w{i}"), F.col("bits").alias(f"_b{i}"))
-        hit = (F.floor(F.col(f"_at{i}") / WORD_BITS) == F.col(f"_w{i}"))
-        out = out.join(word, hit).filter(F.expr(f"(shiftright(_b{i}, cast(_at{i} % {WORD_BITS} AS int)) & 1L) = 1L"))
-    return out.select(*columns)
+    """Rows of ``df`` whose value may be in the filter.
+
+    A filter within the broadcast limit is packed into one array, a scalar of
+    the query, and all probes are tested in one projection. With a larger one
+    the distinct values alone are joined by word, once, and the rows are then
+    cut to the values found."""
+    asked = df.withColumn("_key", F.col(col)).filter("_key IS NOT NULL")
+    if n_bits <= BROADCAST_BITS:
+        asked = asked.withColumn("_words", _packed(bits, n_bits).scalar()).withColumn("_spots", F.array(*_probes(n_bits)))
+        return asked.filter(F.forall("_spots", lambda at: _is_set(F.get("_words", _word(at)), at))).select(*df.columns)
+    spots = asked.select("_key").distinct().select("_key", F.explode(F.array(*_probes(n_bits))).alias("at"))
+    hits = spots.join(bits, _word(F.col("at")) == bits["word"]).filter(_is_set(bits["bits"], F.col("at")))
+    found = hits.groupBy("_key").agg(F.count("*").alias("n")).filter(F.col("n") == PROBES)
+    return asked.join(found, "_key", "left_semi").select(*df.columns)
+
+
+def _word(at: Column) -> Column:
+    return F.floor(at / WORD_BITS).cast("int")
+
+
+def _is_set(word: Column, at: Column) -> Column:
+    bit = F.call_function("shiftright", word, (at % WORD_BITS).cast("int"))
+    return F.coalesce(bit.bitwiseAND(F.lit(1).cast("long")) == 1, F.lit(False))
+
+
+def _packed(bits: DataFrame, n_bits: int) -> DataFrame:
+    """All words of a filter in order, as one array in one row; the broadcast
+    limit bounds its length."""
+    every = bits.sparkSession.range(-(-n_bits // WORD_BITS)).withColumnRenamed("id", "word")
+    full = every.join(bits, "word", "left").select("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    return full.agg(F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"].alias("words"))
 
 
 def bloom_size(n: int, fpp: float) -> int:

@@ -16,6 +16,7 @@ from sparkmine.functions.salary import (
     two_decimals,
 )
 from sparkmine.functions.text import strip_commas
+from sparkmine.plans.workspace import materialize
 
 
 def with_salary(df: DataFrame) -> DataFrame:
@@ -33,7 +34,9 @@ def annual_salary(df: DataFrame, factors: dict[str, int] = PAY_PERIODS, default:
 
 def annual_salary_by_union(df: DataFrame, factors: dict[str, int] = PAY_PERIODS, default: int = 1) -> DataFrame:
     """The same rows built as one branch per pay period, put together with
-    UNION ALL. Reads the input once per branch; kept as the spelled-out form."""
+    UNION ALL. The input is written once, and the branches read what was
+    written; kept as the spelled-out form."""
+    df = materialize(df, "answers")
     kind = F.col("salary_type")
     branches = [df.filter(~kind.isin(*factors)).withColumn("annual_salary", salary_number() * F.lit(default))]
     for period, times in factors.items():
@@ -75,13 +78,15 @@ def salary_stats(df: DataFrame) -> DataFrame:
 
 
 def salary_stats_by_join(df: DataFrame) -> DataFrame:
-    """The same table as four aggregates joined on the country."""
-    given = with_salary(df)
-    yearly = annual_salary_by_union(given)
-    parts = [given.groupBy("country").agg(F.count("*").alias("n"))]
-    for fn, name in ((F.min, "min_salary"), (F.max, "max_salary"), (F.avg, "avg_salary")):
-        parts.append(yearly.groupBy("country").agg(fn("annual_salary").alias(name)))
-    return reduce(lambda a, b: a.join(b, "country"), parts)
+    """The same table as two aggregates joined on the country: the count of all
+    answers with a salary, and the figures of those with a pay period. The
+    answers are written once with their annual salary."""
+    given = materialize(annual_salary(with_salary(df)).select("country", "salary_type", "annual_salary"), "answers")
+    counts = given.groupBy("country").agg(F.count("*").alias("n"))
+    figures = given.filter(F.col("salary_type").isNotNull()).groupBy("country")
+    salary = F.col("annual_salary")
+    figures = figures.agg(F.min(salary).alias("min_salary"), F.max(salary).alias("max_salary"), F.avg(salary).alias("avg_salary"))
+    return counts.join(figures, "country")
 
 
 def format_salary_counts(counts: DataFrame) -> DataFrame:

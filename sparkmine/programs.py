@@ -84,7 +84,7 @@ def cluster_by_words(
     kind = {"w": "tf", "t": "tfidf"}[features.lower()]
     docs = _documents(spark, source)
     assigned, _ = cluster.lloyd(text.vectorize(docs, kind), k, iters, seed)
-    _write_clusters(docs, materialize(assigned.select("id", "cluster", "dist"), "assigned"), "K-means", target)
+    _write_clusters(docs, assigned, "K-means", target)
 
 
 def cluster_by_model(
