@@ -45,7 +45,7 @@ near AS (SELECT * FROM ranked WHERE rank <= 10)
 """
 FRACTIONAL_SQL = """SELECT user_id, item_id,
   CASE WHEN item_id % 7 = 0 THEN 4.3::DOUBLE ELSE rating * 0.1::DOUBLE + 0.33::DOUBLE END AS rating FROM fx_train"""
-PREDICT = NEAR + """,
+_PREDICT = """,
 score AS (
   SELECT user_id, item_id, sum(rating * corr) AS num, sum(abs(corr)) AS den FROM near GROUP BY 1, 2),
 predicted AS (
@@ -56,6 +56,18 @@ predicted AS (
   LEFT JOIN (SELECT user_id, avg(rating) AS m FROM fx_train GROUP BY 1) um ON um.user_id = t.user_id
   LEFT JOIN (SELECT item_id, avg(rating) AS m FROM fx_train GROUP BY 1) im ON im.item_id = t.item_id)
 """
+PREDICT = NEAR + _PREDICT
+# The same over fractional ratings, whose sums are not exact.
+_ODD_PEARSON = FX.replace("fx_train AS", "whole_train AS").replace("fx_test AS", "whole_test AS") + """,
+fx_train AS (""" + FRACTIONAL_SQL.replace("fx_train", "whole_train") + """),
+fx_test AS (""" + FRACTIONAL_SQL.replace("fx_train", "whole_test") + """),
+pearson AS (
+  SELECT a.item_id AS item_a, b.item_id AS item_b, count(*) AS n_co,
+    CASE WHEN min(a.rating) = max(a.rating) OR min(b.rating) = max(b.rating) OR abs(corr(a.rating, b.rating)) < 1e-9
+      THEN CAST(0 AS DOUBLE) ELSE round(corr(a.rating, b.rating), 12) END AS corr
+  FROM fx_train a JOIN fx_train b ON a.user_id = b.user_id AND a.item_id <= b.item_id GROUP BY 1, 2)
+"""
+PREDICT_ODD = NEAR.replace(PEARSON, _ODD_PEARSON) + _PREDICT
 
 
 def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +175,43 @@ def als_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.evaluate(materialize(pred, "als"))
 
 
+def als_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error classes of the factor model on ratings that are a product of a
+    user's and an item's value."""
+    truth = (1 + F.col("user_id") % 4 * 0.25) * (1 + F.col("item_id") % 5 * 0.5)
+    known, asked = (materialize(f(spark, sf_dir).withColumn("rating", truth), "products") for f in (fx.train, fx.test))
+    return ratings.error_histogram(materialize(als.als_predict(known, asked, rank=1, reg=1e-4), "als"))
+
+
+def _odd(rows: DataFrame) -> DataFrame:
+    odd = F.when(F.col("item_id") % 7 == 0, F.lit(4.3)).otherwise(F.col("rating") * 0.1 + 0.33)
+    return materialize(rows.withColumn("rating", odd), "fractional")
+
+
+def cf_predict_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions from small fractional ratings."""
+    pred = item_knn.item_knn_predict(_odd(fx.train(spark, sf_dir)), _odd(fx.test(spark, sf_dir)))
+    return pred.withColumn("rating", F.round("rating", 10)).withColumn("prediction", F.round("prediction", 10))
+
+
+def src_ratings_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings from a file with further fields."""
+    path = new_path(spark, "ratings-wide")
+    wide = fx.train(spark, sf_dir).select("user_id", "item_id", "rating", F.lit("x").alias("note"), F.lit(7).alias("stamp"))
+    wide.write.option("header", True).csv(path)
+    return readers.read_ratings(spark, path)
+
+
+def cf_last_over_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of two files of which the second rates some pairs again."""
+    path = new_path(spark, "ratings-files")
+    rows = fx.train(spark, sf_dir).select("user_id", "item_id", "rating")
+    again = rows.filter("item_id % 3 = 0").withColumn("rating", 6 - F.col("rating"))
+    for name, part in (("a", rows), ("b", again)):
+        part.write.option("header", True).csv(f"{path}/{name}")
+    return ratings.dedup_last(readers.read_placed_ratings(spark, f"{path}/*"), ["user_id", "item_id"], "rating", ["place"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -185,12 +234,27 @@ QUERIES = {
         eval_rmse,
         als_scored_pairs,
         als_evaluation,
+        als_planted,
+        cf_predict_fractional,
+        src_ratings_wide,
+        cf_last_over_files,
     )
 }
 
 SQL = {
     "src_ratings": f"""WITH {FX} SELECT CAST(user_id AS VARCHAR) AS user_id,
 CAST(item_id AS VARCHAR) AS item_id, rating FROM fx_train""",
+    "src_ratings_wide": f"""WITH {FX} SELECT CAST(user_id AS VARCHAR) AS user_id,
+CAST(item_id AS VARCHAR) AS item_id, rating FROM fx_train""",
+    "cf_last_over_files": f"""WITH {FX} SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id,
+CASE WHEN item_id % 3 = 0 THEN 6 - rating ELSE rating END AS rating FROM fx_train""",
+    "als_planted": f"""WITH {FX}, scored AS (
+  SELECT count(*) AS n FROM fx_test
+  WHERE user_id IN (SELECT user_id FROM fx_train) AND item_id IN (SELECT item_id FROM fx_train))
+SELECT bucket, CASE WHEN bucket = 0 THEN n ELSE 0 END AS n
+FROM (SELECT CAST(unnest([0, 1, 2, 3, 4]) AS BIGINT) AS bucket) b, scored""",
+    "cf_predict_fractional": f"""WITH {PREDICT_ODD} SELECT user_id, item_id, round(rating, 10) AS rating,
+round(prediction, 10) AS prediction FROM predicted""",
     "cf_dedup_last": f"WITH {FX} SELECT user_id, item_id, rating FROM fx_train",
     "cf_user_mean": f"WITH {FX} SELECT user_id, round(avg(rating), 6) AS avg_rating FROM fx_train GROUP BY 1",
     "cf_item_mean": f"WITH {FX} SELECT item_id, round(avg(rating), 6) AS avg_rating FROM fx_train GROUP BY 1",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sparkmine.functions.text import hashtags
 from sparkmine.operators import bloom, sampling
@@ -16,6 +19,7 @@ from sparkmine.streaming import reservoir as reservoir_stream
 SEED = 1
 TRACK = "Click"
 PROBE_FPP = 0.05
+PARTS = 5  # batches the events arrive in
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -23,13 +27,17 @@ FX = "fx_tags AS (" + fx.TAGS_SQL.format(events="events") + ")"
 _HASH = "CAST(('0x' || substr(md5({x}), 1, 8)) AS BIGINT)"
 SAMPLE = FX + f""",
 sample AS (SELECT pos AS id, text, tag FROM fx_tags ORDER BY md5('{SEED}:' || pos), pos LIMIT 100)"""
-BLOOM = FX + f""",
-seen AS (SELECT tag, min(pos) AS first_pos, count(*) AS n FROM fx_tags GROUP BY tag),
+_BLOOM = f""",
+seen AS (SELECT tag, min(spot) AS first_pos, count(*) AS n FROM arrived GROUP BY tag),
 bits AS (SELECT tag, first_pos, n, {_HASH.format(x="tag")} % 10 AS b0, {_HASH.format(x="tag")} % 30 AS b1 FROM seen),
 first_bit AS (SELECT bit, min(first_pos) AS p FROM (
   SELECT b0 AS bit, first_pos FROM bits UNION ALL SELECT b1, first_pos FROM bits) t GROUP BY bit),
 judged AS (SELECT b.tag, b.n, f0.p < b.first_pos AND f1.p < b.first_pos AS wrong
   FROM bits b JOIN first_bit f0 ON f0.bit = b.b0 JOIN first_bit f1 ON f1.bit = b.b1)"""
+BLOOM = FX + ", arrived AS (SELECT tag, pos AS spot FROM fx_tags)" + _BLOOM
+LATE_BLOOM = FX + f""", arrived AS (
+  SELECT tag, row_number() OVER (ORDER BY (pos - lo) * {PARTS} // (hi - lo + 1) DESC, pos) AS spot
+  FROM fx_tags, (SELECT min(pos) AS lo, max(pos) AS hi FROM fx_tags) ends)""" + _BLOOM
 _SCORE = """SELECT CAST(count(*) FILTER (WHERE NOT wrong) AS BIGINT) AS unique_tags,
   CAST(coalesce(sum(n - 1) FILTER (WHERE NOT wrong), 0) AS BIGINT) AS correct,
   CAST(coalesce(sum(n) FILTER (WHERE wrong), 0) AS BIGINT) AS incorrect FROM judged"""
@@ -48,14 +56,27 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_posts(fx.table(spark, sf_dir, "events"))
 
 
-def _post_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_posts(readers.read_posts_stream(spark, f"{sf_dir}/events*.parquet", EVENTS_SCHEMA))
+def _post_stream(spark: SparkSession, path: str) -> DataFrame:
+    return _as_posts(readers.read_posts_stream(spark, path, EVENTS_SCHEMA))
+
+
+def _in_parts(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], StreamingQuery], late: bool = False) -> None:
+    """Events that arrive in ``PARTS`` parts by id, the highest ids first if
+    ``late``. The stream goes on from where it was after each of them."""
+    events = fx.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    span = F.lit((ends["hi"] or 0) - (ends["lo"] or 0) + 1)
+    part = F.coalesce(F.floor((F.col("event_id") - F.lit(ends["lo"])) * PARTS / span), F.lit(0))
+    folder = new_path(spark, "events")
+    for i in reversed(range(PARTS)) if late else range(PARTS):
+        events.filter(part == i).write.mode("append").parquet(folder)
+        run(_post_stream(spark, folder)).awaitTermination()
 
 
 def stream_track_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts that mention a word, streamed into a table."""
     path = new_path(spark, "tracked")
-    posts = readers.track_filter(_post_stream(spark, sf_dir), TRACK).select("id", "text")
+    posts = readers.track_filter(_post_stream(spark, f"{sf_dir}/events*.parquet"), TRACK).select("id", "text")
     writer = posts.writeStream.option("checkpointLocation", f"{path}/checkpoint").option("path", f"{path}/out")
     writer.format("parquet").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{path}/out")
@@ -79,8 +100,7 @@ def sample_reservoir(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sampled(spark: SparkSession, sf_dir: str) -> str:
     path = new_path(spark, "reservoir")
-    posts = _post_stream(spark, sf_dir)
-    reservoir_stream.run_reservoir_stream(posts, path, seed=SEED, available_now=True).awaitTermination()
+    _in_parts(spark, sf_dir, lambda posts: reservoir_stream.run_reservoir_stream(posts, path, seed=SEED, available_now=True))
     return path
 
 
@@ -103,13 +123,21 @@ def bloom_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom.bloom_report(fx.tags(spark, sf_dir))
 
 
-def stream_bloom_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scored(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
     path = new_path(spark, "bloom")
-    tags = bloom_stream.tag_positions(_post_stream(spark, sf_dir))
-    bloom_stream.run_bloom_stream(tags, path, available_now=True).awaitTermination()
+    _in_parts(spark, sf_dir, lambda posts: bloom_stream.run_bloom_stream(bloom_stream.tag_positions(posts), path, available_now=True), late)
     return bloom_stream.read_score(spark, path)
 
 
+def stream_bloom_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, late=False)
+
+
+def stream_bloom_late_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score where posts of lower ids arrive later."""
+    return _scored(spark, sf_dir, late=True)
+
+
 def bloom_probe_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers that may have an urgent order."""
     urgent = fx.table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
@@ -132,6 +160,7 @@ QUERIES = {
         stream_avg_length,
         bloom_report,
         stream_bloom_report,
+        stream_bloom_late_ids,
         bloom_probe_filter,
     )
 }
@@ -158,6 +187,7 @@ ORDER BY n DESC, tag LIMIT 5""",
 round(avg(length(text)), 6) AS avg_length FROM sample""",
     "bloom_report": f"WITH {BLOOM} {_SCORE}",
     "stream_bloom_report": f"WITH {BLOOM} {_SCORE}",
+    "stream_bloom_late_ids": f"WITH {LATE_BLOOM} {_SCORE}",
     "bloom_probe_filter": f"""WITH urgent AS (
   SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'),
 size AS (SELECT greatest(64, CAST(ceil(-count(*) * ln({PROBE_FPP}::DOUBLE) / (ln(2) * ln(2))) AS BIGINT)) AS n_bits FROM urgent),

@@ -89,6 +89,11 @@ def partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.partition_profile(rows, 2).unionByName(layout.partition_profile(rows, 2, "country"))
 
 
+def partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every country lies in one partition, with all its rows."""
+    return layout.key_spread(fx.survey(spark, sf_dir).select("resp_id", "country"), 2, "country")
+
+
 _ROUNDED_STATS = f"""WITH {STATS}
 SELECT country, n, min_salary, max_salary, round(avg_salary, 6) AS avg_salary FROM stats"""
 
@@ -107,6 +112,7 @@ QUERIES = {
         rpt_salary_stats,
         partition_profile,
         partition_rows,
+        partition_keys,
     )
 }
 
@@ -131,6 +137,8 @@ SELECT replace(country, ',', '') AS country, CAST(least(n, 2147483647) AS INTEGE
   CAST(trunc(least(greatest(max_salary, -2147483648), 2147483647)) AS INTEGER) AS max_salary,
   round(avg_salary, 2) AS avg_salary
 FROM stats""",
+    "partition_keys": f"""WITH {FX}
+SELECT country, CAST(1 AS BIGINT) AS partitions, count(*) AS n FROM fx_survey GROUP BY country""",
     "partition_profile": f"""WITH {FX}
 SELECT layout, CAST(2 AS BIGINT) AS partitions, count(*) AS n_rows
 FROM fx_survey, (VALUES ('Standard'), ('Partition')) AS v(layout) GROUP BY layout""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ LLOYD_SEED = 20181031
 ML_SEED = 42
 K, ITERS = 5, 20
 ML_K, ML_ITERS = 8, 20
+SMALL, NEAR_SPOT = 1e-4, 0.1  # factors on vectors: short ones, and those around a planted spot
 
 DOCS = """docs AS (SELECT doc_id, rtrim(lower(text), ' ') AS line, lower(text) AS text FROM documents),
 words AS (SELECT doc_id, unnest(string_split(line, ' ')) AS term FROM docs WHERE NOT (line = '' AND text <> ''))"""
@@ -190,6 +192,37 @@ def bisecting_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.cluster_profile(cluster.ml_bisecting(features, ML_K, ML_ITERS, ML_SEED)[0])
 
 
+def assign_nearest_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest centres of vectors a ten-thousandth as long."""
+    small = F.transform("vec", lambda x: x * SMALL).alias("vec")
+    vectors = text.dense_vectors(fx.vectors(spark, sf_dir).select("id", small), "id", "vec")
+    found = cluster.assign_nearest(vectors, cluster.pick_centres(vectors, K, LLOYD_SEED))
+    return found.select("id", "cluster", F.round("dist", 12).alias("dist"))
+
+
+def _planted_groups(spark: SparkSession, sf_dir: str, spot: list, solver) -> DataFrame:
+    """Sizes and errors of clusters over vectors in ``ML_K`` planted groups, by
+    group; a cluster that mixes groups or a group that is split shows as
+    further rows. ``spot`` says where a vector's group lies."""
+    around = F.transform("vec", lambda x: x * NEAR_SPOT)
+    vectors = fx.vectors(spark, sf_dir).select("id", array_to_vector(F.concat(F.array(*spot), around)).alias("features"))
+    assigned = solver(vectors, ML_K, ML_ITERS, ML_SEED)[0]
+    found = assigned.groupBy("cluster", (F.col("id") % ML_K).alias("planted")).agg(F.count("*").alias("size"), F.sum("dist").alias("error"))
+    return found.select("planted", "size", F.round("error", 4).alias("error"))
+
+
+def kmeans_ml_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups at equal distances from each other."""
+    spot = [F.when(F.col("id") % ML_K == g, F.lit(20.0)).otherwise(0.0) for g in range(ML_K)]
+    return _planted_groups(spark, sf_dir, spot, cluster.ml_kmeans)
+
+
+def bisecting_ml_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups that fall apart into halves, quarters and eighths."""
+    spot = [F.when(F.expr(f"id % {ML_K} div {of} % 2 = 1"), F.lit(apart)).otherwise(0.0) for of, apart in ((4, 500.0), (2, 50.0), (1, 5.0))]
+    return _planted_groups(spark, sf_dir, spot, cluster.ml_bisecting)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -209,10 +242,19 @@ QUERIES = {
         rpt_clusters,
         kmeans_ml,
         bisecting_ml,
+        assign_nearest_scaled,
+        kmeans_ml_groups,
+        bisecting_ml_groups,
     )
 }
 
 _FIRST = _lloyd_sql(EMBED, K, 0)
+_FIRST_SMALL = _lloyd_sql(EMBED.replace("AS DOUBLE) AS val", f"AS DOUBLE) * {SMALL}::DOUBLE AS val"), K, 0)
+# Spots are the same for all of a group, so they add nothing to its error.
+_GROUPS = f"""WITH {EMBED},
+mid AS (SELECT id % {ML_K} AS planted, idx, avg(val * {NEAR_SPOT}::DOUBLE) AS val FROM v GROUP BY 1, 2)
+SELECT m.planted, count(DISTINCT v.id) AS size, round(sum((v.val * {NEAR_SPOT}::DOUBLE - m.val) ** 2), 4) AS error
+FROM v JOIN mid m ON m.planted = v.id % {ML_K} AND m.idx = v.idx GROUP BY 1"""
 _TF_LLOYD = _lloyd_sql(TF_VECTORS, K, ITERS)
 _TFIDF_LLOYD = _lloyd_sql(TFIDF_VECTORS, K, ITERS)
 
@@ -230,6 +272,9 @@ FROM docs""",
     "txt_idf": f"WITH {IDF} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "txt_tfidf": f"WITH {IDF} SELECT doc_id, term, round(weight * idf, 6) AS weight FROM tf JOIN idf USING (term)",
     "assign_nearest": f"WITH {_FIRST} SELECT id, CAST(cluster AS INTEGER) AS cluster, round(dist, 4) AS dist FROM a0",
+    "assign_nearest_scaled": f"WITH {_FIRST_SMALL} SELECT id, CAST(cluster AS INTEGER) AS cluster, round(dist, 12) AS dist FROM a0",
+    "kmeans_ml_groups": _GROUPS,
+    "bisecting_ml_groups": _GROUPS,
     "centroid_update": f"""WITH {_FIRST}
 SELECT CAST(a.cluster AS INTEGER) AS cluster, v.idx, round(avg(v.val), 6) AS val
 FROM a0 a JOIN v ON v.id = a.id GROUP BY 1, 2""",

@@ -11,6 +11,13 @@ def lay_out(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
     return df.repartition(n, key) if key else df.repartition(n)
 
 
+def key_spread(df: DataFrame, n: int, key: str) -> DataFrame:
+    """How many of ``n`` partitions hashed by ``key`` hold each key, and its
+    rows, as ``(key, partitions, n)``."""
+    held = lay_out(df, n, key).groupBy(key, F.spark_partition_id().alias("partition_id")).agg(F.count("*").alias("n"))
+    return held.groupBy(key).agg(F.count("*").alias("partitions"), F.sum("n").alias("n"))
+
+
 def partition_profile(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
     """Rows in each of the ``n`` partitions, as ``(layout, partition_id, n)``;
     empty partitions show 0."""

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from sparkmine.functions.hashing import slot
 from sparkmine.operators import bloom, sampling
 from sparkmine.sources import readers
@@ -79,6 +80,17 @@ def test_bloom_filter_has_no_false_negative(spark, monkeypatch, broadcast):
     assert len(kept) < 1000 + 2000 * 0.15
 
 
+def test_bloom_filter_is_one_projection_and_keeps_repeats(spark):
+    members = spark.createDataFrame([("a",), (None,), ("b",), ("a",)], "k STRING")
+    bits = bloom.bloom_build(members, "k", 640)
+    asked = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4)], "k STRING, v INT")
+    kept = bloom.bloom_filter(asked, "k", bits, 640)
+    assert sorted(r.v for r in kept.collect()) == [1, 2, 4]
+    assert "Join" not in plan_of(kept).split("Subquery")[0]
+    nothing = bloom.bloom_build(members.filter("k = 'x'"), "k", 640)
+    assert bloom.bloom_filter(asked, "k", nothing, 640).count() == 0
+
+
 def test_reservoir_merges_and_is_uniform(spark, posts):
     whole = {r.id for r in sampling.reservoir(posts, "id", 50, 3).collect()}
     parts = [sampling.reservoir(posts.filter(F.col("id") % 4 == p), "id", 50, 3) for p in range(4)]

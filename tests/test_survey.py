@@ -93,6 +93,19 @@ def test_partition_profile(spark, tmp_path):
     assert len(spark.read.csv(str(tmp_path / "report")).collect()) == 2
 
 
+def test_a_key_lies_in_one_partition(answers, rows):
+    assert rows(layout.key_spread(answers, 3, "country")) == sorted(
+        [("Aland", 1, 6), ("Borduria", 1, 1), ("Corto, Isle", 1, 3), (None, 1, 1)], key=repr
+    )
+
+
+def test_spelled_out_forms_read_their_input_once(answers, tmp_path, spark):
+    answers.write.parquet(str(tmp_path / "in"))
+    given = spark.read.parquet(str(tmp_path / "in"))
+    for df in (survey.salary_stats_by_join(given), survey.annual_salary_by_union(given)):
+        assert str(tmp_path / "in") not in plan_of(df)  # branches read what was written
+
+
 def test_stats_take_one_exchange(answers):
     plan = plan_of(survey.salary_stats(answers))
     assert plan.count("Exchange hashpartitioning") == 1
