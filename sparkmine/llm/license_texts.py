@@ -1,6 +1,9 @@
 """Known licences, by SPDX identifier: whole texts and the notices that stand
 for them. Fixed values; spelling, case, punctuation, line ends and copyright
-lines are evened out before they are compared."""
+lines are evened out before they are compared. Long texts lie as files in
+``known_licenses``, named by identifier."""
+
+import pkgutil
 
 _MIT_GRANT = """
 Permission is hereby granted, free of charge, to any person obtaining a copy of
@@ -62,6 +65,29 @@ TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE.
 """
 
+_FILES = (
+    "Apache-2.0 Artistic-1.0-Perl BSD-3-Clause BSL-1.0 CC0-1.0 GFDL-1.2-only GFDL-1.3-only GPL-1.0-only GPL-2.0-only "
+    "GPL-3.0-only LGPL-2.0-only LGPL-2.1-only LGPL-3.0-only MPL-1.1 MPL-2.0 Unlicense Zlib"
+).split()
+# The title may be left out, and what follows the terms tells how to apply them.
+_TITLES = {"CC0-1.0": "Creative Commons Legal Code\n"}
+_LAST = "END OF TERMS AND CONDITIONS"
+# Identifiers that the notices below do not name in a line of their own.
+_SPDX = (
+    "AGPL-3.0-only AGPL-3.0-or-later Artistic-1.0-Perl Artistic-2.0 BSL-1.0 0BSD CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 EPL-2.0 "
+    "GFDL-1.2-only GFDL-1.2-or-later GFDL-1.3-only GFDL-1.3-or-later GPL-1.0-only GPL-1.0-or-later GPL-2.0-or-later "
+    "GPL-3.0-or-later LGPL-2.0-only LGPL-2.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later "
+    "MPL-1.1 MPL-2.0 Unlicense Zlib"
+).split()
+
+
+def _whole(name: str) -> list[tuple[str, str]]:
+    text = pkgutil.get_data(__package__, f"known_licenses/{name}.txt").decode()
+    texts = [text, text.removeprefix(_TITLES.get(name, ""))]
+    texts += [t[: t.index(_LAST) + len(_LAST)] for t in texts if _LAST in t]
+    return [(name, t) for t in dict.fromkeys(texts)]
+
+
 LICENSES = [
     ("MIT", _MIT_GRANT),
     ("MIT", "MIT License" + _MIT_GRANT),
@@ -108,3 +134,5 @@ LICENSES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 ]
+LICENSES += [pair for name in _FILES for pair in _whole(name)]
+LICENSES += [(name, f"SPDX-License-Identifier: {name}") for name in _SPDX]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from sparkmine.llm import licenses
 from sparkmine.llm.license_texts import LICENSES
 
@@ -47,3 +49,25 @@ def test_empty_table_and_repeats(spark):
     assert scanned(spark, []) == {}
     df = spark.createDataFrame([(None, "x")] * 3, "doc_id long, text string")
     assert licenses.scan(df).count() == 3
+
+
+def test_whole_texts_of_long_licences(spark):
+    """Whole files as they are spread, in a comment and without what follows the terms."""
+    files = sorted((Path(licenses.__file__).parent / "known_licenses").glob("*.txt"))
+    names = [f.stem for f in files]
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "Unlicense"} <= set(names)
+    texts = [f.read_text() for f in files]
+    got = scanned(spark, texts)
+    assert [got[i].license for i in range(len(texts))] == names
+    got = scanned(spark, ["/*\n * " + t.replace("\n", "\r\n * ") + "\n */" for t in texts])
+    assert [got[i].license for i in range(len(texts))] == names
+    got = scanned(spark, [t.split("END OF TERMS AND CONDITIONS")[0] + "END OF TERMS AND CONDITIONS\n" for t in texts if "END OF TERMS" in t])
+    assert [got[i].license for i in range(len(got))] == [n for n, t in zip(names, texts) if "END OF TERMS" in t]
+    got = scanned(spark, [t.replace(" the ", " a ", 1) for t in texts])
+    assert all(r.license is None for r in got.values())
+
+
+def test_identifier_lines(spark):
+    names = ["MPL-2.0", "LGPL-2.1-or-later", "AGPL-3.0-only", "Unlicense", "GPL-3.0-or-later", "CC-BY-4.0"]
+    got = scanned(spark, [f"# SPDX-License-Identifier: {n}\nimport this" for n in names])
+    assert [got[i].line_licenses for i in range(len(names))] == names
