@@ -1,6 +1,7 @@
 """Licence scan by canonical digests. Built-in expressions only.
 
-A text is brought to a canonical form: lower case; copyright lines dropped;
+A text is brought to a canonical form: lower case; copyright lines dropped, with
+or without a year;
 everything but letters, digits and bytes beyond ASCII read as blank; runs of
 blanks made one; equivalent spellings made one. The SHA-256 digest of the whole
 canonical text is hash-joined with the digests of the known licences, so equal
@@ -20,10 +21,40 @@ from pyspark.sql import functions as F
 
 from sparkmine.llm.license_texts import LICENSES
 
-# Lines that state a copyright, and spellings that are one.
+
+
+def _other(words: set[str]) -> str:
+    """Pattern of the rest of a word that is none of ``words``, without look-ahead."""
+    heads = "".join(sorted({w[0] for w in words if w}))
+    alts = [f"[{_ranges(heads)}][a-z0-9]*"] + [c + _other({w[1:] for w in words if w[:1] == c}) for c in heads]
+    return f"(?:{'|'.join(alts)}){'' if '' in words else '?'}"
+
+
+def _ranges(but: str) -> str:
+    """Letters and digits other than those of ``but``, as ranges of a class."""
+    kept = "".join(" " if c in but else c for c in "0123456789 abcdefghijklmnopqrstuvwxyz").split()
+    return "".join(run if len(run) < 3 else f"{run[0]}-{run[-1]}" for run in kept)
+
+
+# Lines that state a copyright, and spellings that are one. A
+# statement names a year or a sign, or else a holder: a line that goes on with
+# one of ``BODY`` is part of a wrapped text, a list or prose.
+BODY = set(
+    "a above act acts all also an and any are as assignment at be been before but by c can claim claims clearance clearances contributor "
+    "copyright disclaimer disclaimers doctrine doctrines does each exception exceptions file following for from grant granted has have held "
+    "holder holders if in infringement infringements interest interests is it its law laws legislation library license licensed licensee "
+    "licenses licensing licensor like line lines material materials may must no not notice notices of office on only or owned owner owners "
+    "ownership patent patents permission permissions policy program protected protection protections registration registrations related "
+    "representations resulting right rights same shall should software statement statements status such term terms that the their then these "
+    "they this those to treaties treaty under was we were when where which while who will with without work works you your".split()
+)
+_GAP = r"[^a-z0-9\n]+"
 COPYRIGHT_LINE = (
-    r"^[^a-z0-9\n]*(?:copyright[^a-z0-9\n]*(?:c\)[^a-z0-9\n]*)?(?:[0-9]{4}|year|yyyy)|\(c\)[^a-z0-9\n]*[0-9]{4}"
-    r"|©[^a-z0-9\n]*[0-9]{4}|all rights reserved[^a-z0-9\n]*$)[^\n]*"
+    rf"^[^a-z0-9\n]*(?:(?:portions|parts|modifications|additions|changes|contributions){_GAP}(?:are{_GAP})?)?"
+    r"(?:copyright[^a-z0-9\n]*(?:c\)[^a-z0-9\n]*)?(?:[0-9]{4}|year|yyyy)|\(c\)[^a-z0-9\n]*(?:[0-9]{4}|copyright[^a-z0-9])"
+    rf"|copyright[^a-z0-9\n]*(?:\(c\)|©|&copy;)|copyright{_GAP}by{_GAP}[a-z0-9]|spdx-filecopyrighttext:|©[^a-z0-9\n]*[a-z0-9]"
+    r"|all rights reserved[^a-z0-9\n]*$"
+    rf"|(?:copyright|\(c\)){_GAP}(?:the{_GAP})?{_other(BODY | {''})}(?:[^a-z0-9\n][^\n;]{{0,100}})?$)[^\n]*"
 )
 JAVA_LINES = "(?dm)"  # only a line feed ends a line
 PUNCTUATION = r"[\x00-\x1F !-/:-@\[-`{-\x7F]+"

@@ -71,3 +71,42 @@ def test_identifier_lines(spark):
     names = ["MPL-2.0", "LGPL-2.1-or-later", "AGPL-3.0-only", "Unlicense", "GPL-3.0-or-later", "CC-BY-4.0"]
     got = scanned(spark, [f"# SPDX-License-Identifier: {n}\nimport this" for n in names])
     assert [got[i].line_licenses for i in range(len(names))] == names
+
+
+HEADERS = [
+    "Copyright (c) Microsoft Corporation.", "Copyright The Kubernetes Authors", "Copyright the original author or authors.", "Copyright (c) Jane Doe",
+    "Portions Copyright (c) 2010 Some Body", "Copyright by Jane Doe 2020", "Copyright Jane Doe", "Copyright: Jane Doe <j@example.org>", "(c) Jane Doe",
+    "(C) The X Authors. All rights reserved.", "© Jane Doe", "Copyright © Jane Doe", "(c) Copyright 2020 Some Body", "(c) Copyright Jane Doe", "Copyright Élan Vital",
+    "Portions are copyright Jane Doe", "Modifications © Jane Doe", "SPDX-FileCopyrightText: Jane Doe", "Copyright 3M Company", "Copyright &copy; Jane Doe", "Copyright Noticeboard Ltd.",
+]
+
+
+def test_holder_lines_without_year(spark):
+    bsd = next(t for i, t in LICENSES if i == "BSD-3-Clause")
+    texts = [f"{h}\n{t}" for h in HEADERS for t in (MIT, bsd)] + [f" * {h}\r\n * Copyright (c) 2001 B\r\n * All rights reserved.\r\n{MIT}" for h in HEADERS]
+    got = scanned(spark, texts)
+    wrong = [texts[i][:60] for i in range(len(texts)) if got[i].license != ("BSD-3-Clause" if bsd in texts[i] else "MIT")]
+    assert not wrong
+
+
+def test_wrapped_lines_are_no_holder_lines(spark):
+    """A known text without its copyright lines is the same however it is wrapped."""
+    import re
+
+    stated = re.compile(r"copyright \(c\)|copyright \[yyyy|\(c\) ?(?:year|_|<year)|all rights reserved", re.I)
+    wraps = []
+    for k, (_, text) in enumerate(LICENSES):
+        words = " ".join(x for x in text.split("\n") if not stated.search(x)).split()
+        wraps += [(k, " ".join(words)), (k, "\n".join(words))]
+        wraps += [(k, "\n".join([" ".join(words[:at]), *(" ".join(words[i : i + 3]) for i in range(at, len(words), 3))])) for at in range(3)]
+    df = spark.createDataFrame(wraps, "doc_id long, text string")
+    digests = {}
+    for r in licenses.scan(df, []).collect():
+        digests.setdefault(r.doc_id, set()).add(r.digest)
+    assert all(len(d) == 1 for d in digests.values())
+
+
+def test_prose_lines_stay(spark):
+    lines = ["Copyright notices must be kept.", "Copyright infringement is a crime.", "copyright", "copyright the", "(c) you must pay for it", "(c) the licensee pays", "copyright and patents", "A note on copyright Jane"]
+    got = scanned(spark, [MIT + "\n" + x for x in lines])
+    assert all(r.license is None for r in got.values())
