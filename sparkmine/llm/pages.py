@@ -8,7 +8,7 @@ distance), so that a heading or a short paragraph is carried by the paragraphs
 beside it, and the smoothed ratios are held against a threshold relative to
 their spread on the page. What stands in menus, headers, footers, side bars,
 notices, adverts, forms, scripts, styles or reader comments is known by tag,
-role, class or id and counts for nothing, whatever its ratio. Where the page
+role, or whole class or id and counts for nothing, whatever its ratio. Where the page
 marks an article or main part that holds chosen text, only that part counts.
 
 The text of the chosen nodes is put into blocks at the borders of block-level
@@ -48,7 +48,8 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-BOILER_TAGS = set("head nav header footer aside form button dialog menu label fieldset noscript template svg math object select canvas audio video".split())
+BOILER_TAGS = set("head nav header footer aside form button dialog menu label fieldset noscript template svg select canvas audio video".split())
+KEPT_INSIDE = {"label", "noscript"}  # boilerplate only outside an article
 FOREIGN = {"svg", "math"}
 BOILER_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 BOILER_WORDS = set(
@@ -56,7 +57,13 @@ BOILER_WORDS = set(
     "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice popup promo promoted promotion related "
     "replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
-NOT_ITSELF = {"has", "with", "no"}  # "with-sidebar" is not the side bar
+# A class or id counts if it is one of the words above or a compound of them with these: "site-footer", "ad-slot-2", not
+# "related-work", "ad-hoc-networks" or "with-sidebar".
+FRAME_WORDS = set(
+    "area article articles bar blog body bottom box button buttons center column container content desktop entry fixed floating form "
+    "global group holder icon icons inner item items left link links list main media mobile module outer overlay page pane panel post "
+    "posts primary region right row secondary section site slot sticky story stories tertiary top unit wrap wrapper".split()
+)
 MAIN_TAGS = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？।؟]")
@@ -72,7 +79,18 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+_BETWEEN = re.compile(r"[-_:.0-9]+")
+
+
+def _marks(names: list[str]) -> set[str]:
+    """Boilerplate words among those classes and ids that consist of them and
+    of words for parts of a page."""
+    found: set[str] = set()
+    for name in names:
+        pieces = {x for x in _BETWEEN.split(name) if x}
+        if pieces & BOILER_WORDS and pieces <= BOILER_WORDS | FRAME_WORDS:
+            found |= pieces & BOILER_WORDS
+    return found
 
 
 class _Open:
@@ -84,13 +102,15 @@ class _Open:
     def __init__(self, tag: str, attrs: str, parent: _Open | None):
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)} if attrs else {}
         classes = found.get("class", "").split()
-        words = set(_WORD.findall(f"{found.get('class', '')} {found.get('id', '')}"))
         role = found.get("role")
         inside = bool(parent and parent.main)
+        # The id of a heading, or of a section of the article, is a slug of its title.
+        slug = tag in HEADINGS or inside and tag == "section"
+        words = _marks([*classes, *([] if slug else found.get("id", "").split())])
         # The header of an article holds its title; only the headings count.
         self.title = inside and (tag == "header" or "header" in words) and not parent.boiler
-        marked = bool(words & BOILER_WORDS) and not words & NOT_ITSELF and tag not in ("html", "body") or role in BOILER_ROLES
-        self.boiler = bool(parent and parent.boiler) or not self.title and (tag in BOILER_TAGS or marked)
+        marked = bool(words) and tag not in ("html", "body") or role in BOILER_ROLES
+        self.boiler = bool(parent and parent.boiler) or not self.title and (tag in BOILER_TAGS and not (inside and tag in KEPT_INSIDE) or marked)
         self.main = inside or tag in MAIN_TAGS or role in MAIN_TAGS
         self.link = tag == "a" or bool(parent and parent.link)
         self.tag = tag

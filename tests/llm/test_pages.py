@@ -47,6 +47,24 @@ def test_boilerplate_goes(wrap, name):
         assert pages.main_text(page) == want
 
 
+SLUGS = ["section id='related-work'", "section id='comments'", "div id='ad-hoc-networks'", "div class='social-history'", "div class='notice-of-findings'", "div class='header-analysis'", "div id='share-of-votes'", "section class='menu-costs'"]
+
+
+@pytest.mark.parametrize("wrap", ["article", "main", "div class='page no-sidebar'"])
+@pytest.mark.parametrize("slug", SLUGS)
+def test_slugs_in_the_article_stay(wrap, slug):
+    if slug == "section id='comments'" and wrap.startswith("div"):
+        return  # the reader comments of a page without an article
+    body = f"<h2 id='comments-on-the-method'>Comments on it</h2><p>{PARAGRAPH}</p><{slug}><h3 id='navigation'>Part</h3><p>{PARAGRAPH} here</p></{slug.split()[0]}>"
+    page = f"<html><body>{BOILER['nav']}<{wrap}>{body}</{wrap.split()[0]}><div class='ad-slot-2'>{PARAGRAPH}</div><div id='site-footer'>{PARAGRAPH}</div></body></html>"
+    assert pages.main_text(page) == f"Comments on it\n{PARAGRAPH}\nPart\n{PARAGRAPH} here"
+
+
+def test_formulas_and_labels_in_the_article_stay():
+    page = f"<body><noscript>Switch it on, please.</noscript><article><p>{PARAGRAPH} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> <object>chart of it</object> <label>a note</label><noscript> shown</noscript></p><p>{PARAGRAPH}</p></article>"
+    assert pages.main_text(page) == f"{PARAGRAPH} x=2 chart of it a note shown\n{PARAGRAPH}"
+
+
 def test_blocks_and_references():
     page = f"<body><article><header><h1>A &amp;lt;b&gt;</h1><p>By someone, today.</p></header><p> {PARAGRAPH}\n\t<b>x</b><i>y</i>&nbsp;z &#233;&eacute;</p><pre>a\n b</pre></article>"
     assert pages.main_text(page) == f"A &lt;b>\n{PARAGRAPH} xy z éé\na b"
