@@ -4,22 +4,28 @@ The test items are the stated query set: they are taken in blocks of bounded
 size, each block goes to all executors, and every block meets every document.
 For each block:
 
-1. Items are cut into n-grams of ``N`` = 3 normalised words (lower-case ASCII,
-   ASCII punctuation read as blank). One pass over the whole corpus counts the
-   documents that hold each n-gram.
-2. An item's seeds are its rarest n-grams: all but the commonest
-   ``1 - RARE`` = quarter of them (ties stay in). The cut is relative to the
-   item, so an item that leaked into a third of all documents keeps its seeds.
+1. Words are lower-case ASCII, ASCII punctuation read as blank. Two item words
+   that are neighbours or have one word between them are a pair; a document
+   holds it if the two words, in order, are neighbours there or have one word
+   between them. One pass over the whole corpus counts the documents that hold
+   each pair.
+2. An item's seeds are the pairs that begin at its rarest places, as many places
+   as ``seed_places`` says. Counts choose the places, not how many there are, so
+   whatever the corpus holds, no passage can be without seeds.
 3. A second pass finds seeds in documents. Around every hit lies the passage
-   where the item would stand, with room for insertions; overlapping passages
-   of one item are one. Passage and item are aligned by Smith-Waterman (match
-   +2, mismatch and gap -1), and the score is divided by that of a whole exact
+   where the item would stand, with room for as many insertions as the score
+   allows; overlapping passages of one item are one. Passages with enough seeds
+   and words of the item are aligned with it by Smith-Waterman (match +2,
+   mismatch and gap -1), and the score is divided by that of a whole exact
    copy. From ``MIN_SCORE`` = 0.5 on the document is contaminated.
 
-Among ``m`` item words of which 0.8 m match, some four in a row match, and so
-many n-grams are shared that the dropped quarter cannot hold them all.
+Why no such passage is missed: let ``M`` of ``m`` item words match, with ``X``
+mismatches and gaps, so ``2 M - X >= m`` and ``X <= m``. Of the ``M - 1`` steps from
+one match to the next let ``a`` have no error, ``b`` one and ``c`` more: ``b + 2 c <= X``,
+hence ``2 a + b >= m - 2``. The steps with at most one error are pairs, so pairs
+begin at ``a + b >= (m - 2) / 2`` of the item's ``m - 1`` places.
 
-Defined results: null text holds nothing; an item with fewer than ``N`` words
+Defined results: null text holds nothing; an item with fewer than ``N`` = 3 words
 has no seed and matches nothing; repeated items and documents are reported one
 by one; empty tables give an empty result; further columns are ignored.
 """
@@ -34,10 +40,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.llm.words import Words, chunks
+from sparkmine.llm.words import WORD_BASE, Words, chunks, mix
 
 N = 3
-RARE = 0.75
+SHARE = 4  # one in so many of the pairs that a passage must hold is asked of its seeds
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 BLOCK_WORDS = 500_000  # item words in one block; about 30 MB of arrays
@@ -56,11 +62,31 @@ def plain_chunks(texts: pa.Array) -> Iterator[tuple[int, int, Words]]:
         yield first, last, Words(PLAIN[words.data], words.offsets)
 
 
+def pairs(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of every two words of one text that are neighbours
+    or have one word between them."""
+    starts, hashes = [], []
+    for step in (1, 2):
+        n = np.maximum(words.counts - step, 0)
+        start = np.arange(int(n.sum())) + np.repeat(words.bounds[:-1] - (np.cumsum(n) - n), n)
+        starts.append(start)
+        hashes.append(mix(words.hashes[start] * np.uint64(WORD_BASE) + words.hashes[start + step]))
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def seed_places(size: int) -> tuple[int, int]:
+    """Places of an item of ``size`` words whose pairs are seeds, and at how many
+    of them every passage from ``MIN_SCORE`` on has one."""
+    held = (size - 1) // 2  # (size - 2) / 2, rounded up
+    least = max(1, held // SHARE)
+    return size - 1 - held + least, least
+
+
 @dataclass
 class Block:
-    """Items and their n-grams. Place ``i`` says that n-gram ``grams[gram[i]]``
+    """Items and their pairs. Place ``i`` says that pair ``grams[gram[i]]``
     starts at word ``offset[i]`` of item ``item[i]``; ``places`` are sorted by
-    n-gram and ``first[g]`` is the first place of n-gram ``g``."""
+    pair and ``first[g]`` is the first place of pair ``g``."""
 
     ids: list
     words: list[np.ndarray]
@@ -83,8 +109,8 @@ class Block:
         return Block(ids, words, grams, np.append(first, len(order)), item[order], offset[order], bits)
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """First word and n-gram number of every n-gram of the block."""
-        starts, grams = words.windows(N)
+        """First word and pair number of every pair of the block."""
+        starts, grams = pairs(words)
         likely = np.flatnonzero(self.bits[grams & np.uint64((1 << FILTER_BITS) - 1)])
         at = np.searchsorted(self.grams, grams[likely])
         found = at < len(self.grams)
@@ -92,15 +118,17 @@ class Block:
         return starts[likely[found]], at[found]
 
     def rarest(self, documents: np.ndarray) -> Block:
-        """The block with each item's rarest n-grams only."""
+        """The block with the pairs at each item's rarest places only."""
         number = np.repeat(np.arange(len(self.grams)), np.diff(self.first))
         keep = np.zeros(len(number), bool)
         order = np.argsort(self.item, kind="stable")
         for places in np.split(order, np.flatnonzero(np.diff(self.item[order])) + 1):
             if len(places):
-                seen = documents[number[places]]
-                cut = np.sort(seen)[int(np.ceil(RARE * len(seen))) - 1]
-                keep[places] = seen <= cut
+                size = len(self.words[self.item[places[0]]])
+                seen = np.bincount(self.offset[places], documents[number[places]], size - 1)
+                chosen = np.zeros(size - 1, bool)
+                chosen[np.argsort(seen, kind="stable")[: seed_places(size)[0]]] = True
+                keep[places] = chosen[self.offset[places]]
         gram = self.grams[number]
         return Block.of(self.ids, self.words, [(gram[keep], self.item[keep], self.offset[keep])])
 
@@ -110,7 +138,7 @@ def blocks(items: DataFrame) -> Iterator[Block]:
     ids, words, places, size = [], [], [], 0
     for row in items.select("item_id", F.col("text").cast("string").alias("text")).toLocalIterator():
         for _, _, held in plain_chunks(pa.array([row["text"]], pa.string())):
-            start, gram = held.windows(N)
+            start, gram = pairs(held) if len(held) >= N else (np.empty(0, np.int64), np.empty(0, np.uint64))
             places.append((gram, np.full(len(gram), len(ids)), start))
             ids.append(row["item_id"])
             words.append(held.hashes)
@@ -123,7 +151,7 @@ def blocks(items: DataFrame) -> Iterator[Block]:
 
 
 def _document_counts(docs: DataFrame, block: Block) -> np.ndarray:
-    """Documents that hold each n-gram of the block, over the whole corpus."""
+    """Documents that hold each pair of the block, over the whole corpus."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +167,7 @@ def _document_counts(docs: DataFrame, block: Block) -> np.ndarray:
 
     out = np.zeros(len(block.grams), np.int64)
     for row in docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        out[row["gram"]] = row["n"]  # one row per n-gram of the block at most
+        out[row["gram"]] = row["n"]  # one row per pair of the block at most
     return out
 
 
@@ -172,19 +200,26 @@ def _matches(words: Words, block: Block) -> list[tuple[int, int, float, int, int
     text = np.searchsorted(words.bounds, start, "right") - 1
     begin = start - block.offset[place]
     order = np.lexsort((begin, item, text))
+    text, item, begin, offset = text[order], item[order], begin[order], block.offset[place][order]
+    size = np.array([len(w) for w in block.words])
+    # A hit's passage has room for as many insertions as the item has words, on both sides.
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > 3 * size[item[1:]])
+    region = np.cumsum(new) - 1
+    first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(new)) - 1
+    longest = int(size.max())
+    held = np.bincount(np.unique(region * longest + offset) // longest, minlength=len(first))
+    least = np.array([seed_places(n)[1] for n in size.tolist()])
+    enough = np.flatnonzero(held >= least[item[first]])
+    first, last = first[enough], last[enough]
+    room = size[item[first]]
+    regions = zip(text[first].tolist(), item[first].tolist(), (begin[first] - room).tolist(), (begin[last] + 2 * room).tolist())
     out: dict[tuple[int, int], tuple[float, int, int]] = {}
-    regions: list[list[int]] = []
-    for t, j, b in zip(text[order].tolist(), item[order].tolist(), begin[order].tolist()):
-        size = len(block.words[j])
-        room = size // 4 + 2
-        lo, hi = b - room, b + size + room
-        if regions and regions[-1][:2] == [t, j] and lo <= regions[-1][3]:
-            regions[-1][3] = hi
-        else:
-            regions.append([t, j, lo, hi])
     for t, j, lo, hi in regions:
         lo, hi = max(lo, int(words.bounds[t])), min(hi, int(words.bounds[t + 1]))
         asked, passage = block.words[j], words.hashes[lo:hi]
+        if 2 * np.isin(asked, passage).sum() < len(asked):
+            continue
         score, last_item, last = align(asked, passage)
         share = score / (MATCH * len(asked))
         if share >= MIN_SCORE and share > out.get((t, j), (0.0,))[0]:

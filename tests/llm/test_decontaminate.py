@@ -96,3 +96,48 @@ def test_edge_cases(spark, rows):
     for empty in (frames(spark, [], [(1, text)]), frames(spark, docs, []), frames(spark, [], [])):
         assert decontaminate.find(*empty).collect() == []
         assert decontaminate.without(*empty).count() == empty[0].count()
+
+
+def edited(words, rng, other):
+    """A copy with dense edits, as strong as the score allows or stronger."""
+    kind = rng.randrange(4)
+    if kind == 0:  # one word more after every one, two or three
+        step = rng.randrange(1, 4)
+        return [x for i, w in enumerate(words) for x in ([w, other()] if i % step == step - 1 else [w])]
+    if kind == 1:  # other words in even distances
+        step = rng.randrange(2, 5)
+        return [other() if i % step == step - 1 else w for i, w in enumerate(words)]
+    if kind == 2:  # every third word is gone
+        return [w for i, w in enumerate(words) if i % 3 != 2]
+    return [x for w in words for x in rng.choice([[w], [w], [other()], [w, other()], []])]
+
+
+def test_no_passage_above_the_score_is_missed(spark):
+    """Dense insertions, substitutions and deletions, against the alignment of
+    every document with every item."""
+    rng = random.Random(5)
+    other = lambda: rng.choice("stuvwxyz") + str(rng.randrange(60))
+    items = [(i, [f"{rng.choice('abcdef')}{rng.randrange(40)}" for _ in range(size)]) for i, size in enumerate([3, 4, 5, 6, 9, 14, 21, 30, 38, 59])]
+    docs = []
+    for k in range(400):
+        middle = edited(items[k % len(items)][1], rng, other)
+        docs.append((k, " ".join([other() for _ in range(rng.randrange(8))] + middle + [other() for _ in range(rng.randrange(8))])))
+    want = {}
+    for k, text in docs:
+        for i, words in items:
+            score = align_by_hand(words, text.split()) / (2 * len(words))
+            if score >= decontaminate.MIN_SCORE:
+                want[k, i] = score
+    assert len(want) > 150 and min(want.values()) < 0.53
+    d, b = frames(spark, docs, [(i, " ".join(w)) for i, w in items])
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.find(d, b).collect()} == want
+    assert decontaminate.without(d, b).count() == len(docs) - len({k for k, _ in want})
+
+
+def test_equal_paraphrases_do_not_hide_each_other(spark):
+    words = [f"w{i}" for i in range(40)]
+    copy = [f"x{i}" if i % 4 == 2 and i < 37 else w for i, w in enumerate(words)]
+    inserted = [x for i, w in enumerate(words) for x in ([w, f"y{i}"] if i % 2 else [w])]
+    for text in (copy, inserted):
+        d, b = frames(spark, [(i, " ".join(text)) for i in range(50)] + [(99, " ".join(words[:9]))], [(1, " ".join(words))])
+        assert sorted(r.doc_id for r in decontaminate.find(d, b).collect()) == list(range(50))
