@@ -5,11 +5,13 @@ hashed into ``SLOTS`` places and rooted, so that every text is a vector of
 length one whatever its size. Linear support vector machines, one for each pair
 of classes, decide first between language families and then between the
 languages of the chosen family; the class with the largest sum of bounded
-margins wins.
+margins wins. More than ``WIDEST`` classes are first put into groups of classes
+with like texts, and machines decide between the groups, so the number of
+machines stays small however many languages there are.
 
-The machines learn from at most about ``PER_LANGUAGE`` texts of each of the
-``MOST_LANGUAGES`` most frequent languages, chosen by a hash of the id. Texts
-are predicted from their characters alone.
+The machines learn from at most about ``PER_LANGUAGE`` texts of each language
+that the corpus labels, chosen by a hash of the id. Texts are predicted from
+their characters alone.
 
 Defined results: null text and text without a letter is ``und`` with score 0,
 and so is every text if there is nothing to learn from; with one language to
@@ -20,6 +22,7 @@ result; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -27,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +38,7 @@ from sparkmine.plans.workspace import materialize
 
 SLOTS = 2048
 PER_LANGUAGE = 600
-MOST_LANGUAGES = 64
+WIDEST = 64  # classes that are held against one another directly
 ROUNDS = 25
 REGULARISATION = 1e-3
 SLICE = 1 << 20  # bytes of a text that are turned into features at once
@@ -95,7 +99,7 @@ def sample(docs: DataFrame) -> DataFrame:
     """``lang, text`` to learn from: a bounded number of texts per language."""
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().orderBy("lang").collect()  # one row per language
     if not counts:
         return known.select("lang", "text").filter("false")
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, PER_LANGUAGE / r["count"]))])
@@ -134,8 +138,44 @@ class Machines:
         return self.classes[best], float(least[best])
 
 
+class Tree:
+    """Machines between groups of classes, and below them those of each group."""
+
+    def __init__(self, groups: Machines, below: dict[str, Machines | Tree]):
+        self.groups, self.below = groups, below
+        self.classes = sorted(c for b in below.values() for c in b.classes)
+
+    @staticmethod
+    def learn(rows: DataFrame, label: str, classes: list[str]) -> Machines | Tree:
+        if len(classes) <= WIDEST:
+            return Machines.learn(rows, label, classes)
+        members = {str(k): group for k, group in enumerate(_alike(rows, label, classes))}
+        of = F.create_map(*[F.lit(v) for k, group in members.items() for c in group for v in (c, k)])
+        grouped = rows.withColumn("group", of[F.col(label)])  # null for other classes
+        return Tree(Machines.learn(grouped, "group", list(members)), {k: Tree.learn(rows, label, group) for k, group in members.items()})
+
+    def vote(self, x: np.ndarray) -> tuple[str, float]:
+        group, sure = self.groups.vote(x)
+        best, share = self.below[group].vote(x)
+        return best, sure * share
+
+
+def _alike(rows: DataFrame, label: str, classes: list[str]) -> list[list[str]]:
+    """The classes in at most ``WIDEST`` groups of equal size, each a class and
+    those with the nearest mean vectors."""
+    means = rows.filter(F.col(label).isin(classes)).groupBy(label).agg(Summarizer.mean(F.col("features")).alias("mean")).collect()  # one row per class
+    mean = {r[label]: r["mean"].toArray() for r in means}
+    size = math.ceil(len(classes) / min(WIDEST, math.ceil(math.sqrt(len(classes)))))
+    left, groups = list(classes), []
+    while left:
+        near = sorted(left, key=lambda c: (float(((mean[c] - mean[left[0]]) ** 2).sum()), c))[:size]
+        groups.append(sorted(near))
+        left = [c for c in left if c not in near]
+    return groups
+
+
 class Model:
-    def __init__(self, families: Machines | None, languages: dict[str, Machines]):
+    def __init__(self, families: Machines | Tree | None, languages: dict[str, Machines | Tree]):
         self.families, self.languages = families, languages
 
     def predict(self, text: str) -> tuple[str, float]:
@@ -149,7 +189,7 @@ class Model:
 
 def learn(docs: DataFrame) -> Model:
     rows = materialize(sample(docs).mapInArrow(_vectors, "lang string, x array<double>"), "language-sample")
-    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())  # MOST_LANGUAGES at most
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not languages:
         return Model(None, {})
     family = {lang: FAMILY_OF.get(lang, lang) for lang in languages}
@@ -157,7 +197,7 @@ def learn(docs: DataFrame) -> Model:
     rows = rows.select("lang", of[F.col("lang")].alias("family"), array_to_vector("x").alias("features")).cache()
     groups = {f: [x for x in languages if family[x] == f] for f in sorted(set(family.values()))}
     try:
-        return Model(Machines.learn(rows, "family", list(groups)), {f: Machines.learn(rows, "lang", own) for f, own in groups.items()})
+        return Model(Tree.learn(rows, "family", list(groups)), {f: Tree.learn(rows, "lang", own) for f, own in groups.items()})
     finally:
         rows.unpersist()
 

@@ -71,3 +71,19 @@ def test_slices_of_a_text_add_up(monkeypatch, n):
     monkeypatch.setattr(language, "SLICE", 5)
     assert np.allclose(language.vector("äbc dE" * n), whole)
     assert n < 2 or np.isclose((whole**2).sum(), 1)
+
+
+def test_every_labelled_language_teaches(spark):
+    docs = spark.createDataFrame([(i, text("xx", 5, i), f"l{i % 70}") for i in range(1400)], "doc_id long, text string, lang string")
+    assert language.sample(docs).select("lang").distinct().count() == 70
+
+
+def test_groups_of_families(spark, monkeypatch):
+    """More classes than are held against one another directly."""
+    monkeypatch.setattr(language, "WIDEST", 2)
+    docs, rows = made(spark)
+    model = language.learn(docs)
+    assert isinstance(model.families, language.Tree) and model.families.classes == ["germanic", "romance", "xx"]
+    got = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    assert sum(got[i].lang_pred == lang for i, _, lang in rows) >= 0.97 * len(rows)
+    assert language.recognised(docs, model).count() >= 0.97 * len(rows)
