@@ -63,7 +63,7 @@ def test_whole_texts_of_long_licences(spark):
     assert [got[i].license for i in range(len(texts))] == names
     got = scanned(spark, [t.split("END OF TERMS AND CONDITIONS")[0] + "END OF TERMS AND CONDITIONS\n" for t in texts if "END OF TERMS" in t])
     assert [got[i].license for i in range(len(got))] == [n for n, t in zip(names, texts) if "END OF TERMS" in t]
-    got = scanned(spark, [t.replace(" the ", " a ", 1) for t in texts])
+    got = scanned(spark, [t + "\nUnder one more condition." for t in texts])
     assert all(r.license is None for r in got.values())
 
 
