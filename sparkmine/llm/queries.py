@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmine.llm import chat, decontaminate, language, licenses, mixing, pages, quality, simhash, sql, substrings, tokens
+from sparkmine.llm import chat, decontaminate, language, lexical, licenses, mixing, pages, quality, runs, simhash, sql, substrings, tokens
 from sparkmine.llm.tables import prepare, table
 from sparkmine.plans.workspace import materialize, new_path
 
@@ -66,6 +66,17 @@ def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, about one in ten of them with a planted periodic tail."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    return runs.digests(runs.find(docs.select("doc_id", runs.plant(docs["doc_id"], docs["text"]).alias("text"))))
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan,
     "op2_token_shards": token_shards,
@@ -77,10 +88,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_page_text": page_text,
     "op9_quality_rules": quality_rules,
     "op10_contaminated": contaminated,
+    "op12_periodic_runs": periodic_runs,
+    "op13_ranked_search": ranked_search,
 }
 SQL: dict[str, str] = {
     "op1_license_scan": sql.LICENSE_SCAN,
     "op3_chat_format": sql.CHAT,
     "op6_substring_dedup": sql.SUBSTRING_DEDUP,
     "op9_quality_rules": sql.QUALITY_RULES,
+    "op13_ranked_search": sql.RANKED_SEARCH,
 }

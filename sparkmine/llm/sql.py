@@ -138,3 +138,30 @@ s AS (SELECT * FROM {_fences("lang", "shared")})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({_BEYOND}) AS kept
 FROM q LEFT JOIN o ON q.lang IS NOT DISTINCT FROM o.lang AND q.source = o.source LEFT JOIN s ON q.lang IS NOT DISTINCT FROM s.lang
 """
+
+# Terms end where the byte table of the operator has blanks.
+_TERMS = r"list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+RANKED_SEARCH = f"""
+WITH d AS (
+  SELECT rid, doc_id, len(ts) AS n, ts
+  FROM (SELECT row_number() OVER () AS rid, doc_id, {_TERMS.format("text")} AS ts FROM documents) WHERE len(ts) > 0
+),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+held AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total
+),
+item AS (SELECT row_number() OVER () AS iid, item_id, {_TERMS.format("text")} AS ts FROM benchmark),
+asked AS (SELECT iid, term, count(*) AS qf FROM (SELECT iid, unnest(ts) AS term FROM item) GROUP BY ALL),
+sized AS (SELECT rid, doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM d, total),
+scored AS (
+  SELECT iid, rid, sum(qf * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weight USING (term) JOIN held USING (term) JOIN sized USING (rid) GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (
+  SELECT iid, doc_id, score, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM scored JOIN sized USING (rid) WHERE score > 0
+) JOIN item USING (iid) WHERE rank <= 20
+"""
