@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmine.llm import chat, decontaminate, language, lexical, licenses, mixing, pages, quality, runs, simhash, sql, substrings, tokens
+from sparkmine.llm import chat, credentials, decontaminate, language, lexical, licenses, mixing, pages, quality, runs, simhash, sql, substrings, tokens
 from sparkmine.llm.tables import prepare, table
 from sparkmine.plans.workspace import materialize, new_path
 
@@ -66,6 +66,10 @@ def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digests(credentials.find(table(prepare(spark), sf_dir, "documents")))
+
+
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all documents, about one in ten of them with a planted periodic tail."""
     docs = table(prepare(spark), sf_dir, "documents")
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_page_text": page_text,
     "op9_quality_rules": quality_rules,
     "op10_contaminated": contaminated,
+    "op11_secret_scan": secret_scan,
     "op12_periodic_runs": periodic_runs,
     "op13_ranked_search": ranked_search,
 }
