@@ -1,20 +1,34 @@
 """Main text of web pages by tag-path ratios.
 
-A page is cut into text nodes, each under its path of tags from the root. Per
-path the text length, the share of it outside links, the punctuation and the
-number of nodes are summed up; their product is the path's ratio. Ratios are
-smoothed over paths that differ in few steps (a Gaussian of the path edit
-distance), so that a heading or a short paragraph is carried by the paragraphs
-beside it, and the smoothed ratios are held against a threshold relative to
-their spread on the page. What stands in menus, headers, footers, side bars,
-notices, adverts, forms, scripts, styles or reader comments is known by tag,
-role, or whole class or id and counts for nothing, whatever its ratio. Where the page
-marks an article or main part that holds chosen text, only that part counts.
+A page is cut into text nodes, each under its path of tags (and first classes)
+from the root; paths are numbers with links to the path above. Per path the text
+length, the share of it outside links, the punctuation and the number of nodes are
+summed up; their product is the path's ratio.
+
+1. *Smooth.* A path's smoothed ratio adds those of the paths one step away (above,
+   below, beside) and two steps away (two above, two below) with the weights of a
+   Gaussian, so that a heading or short paragraph is carried by the paragraphs
+   beside it. Sums over children make this linear in the number of paths.
+2. *Threshold.* Paths are chosen whose smoothed ratio reaches a share of the spread
+   of all ratios on the page.
+3. *Fuse.* The main part is the deepest element path that holds ``HOLDS`` of the chosen
+   text; all paths below it belong to it, also those of tables and captions. Block
+   elements in it whose text is mostly links go. Text outside of it goes, whatever
+   its classes. Where no element holds that much, the chosen paths are taken.
+
+Scripts, styles and form controls are never text (``NEVER``). Tags, roles and whole
+classes or ids that name menus, headers, footers, side bars, notices, adverts or
+comments, and article elements, are priors: a marked element counts for
+nothing, unless it holds ``OVERRULES`` of the page's plain text (reader comments stay
+out); an article that holds ``ARTICLE`` of it is where paths are judged.
 
 The text of the chosen nodes is put into blocks at the borders of block-level
 elements; references are decoded, white space inside a block is one blank,
 blocks are joined by a line end.
 
+Every step takes constant time per tag or text node, whatever the depth of the page
+and the number of its classes.
+
 Defined results: null html is an empty page; a page without chosen text has an
 empty text; repeated rows are extracted one by one; an empty table gives an
 empty result; further columns are ignored. Each page is read whole.
@@ -43,12 +57,13 @@ ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr", "td", "th"}, {"table"}),
+    "tr": ({"tr"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-BOILER_TAGS = set("head nav header footer aside form button dialog menu label fieldset noscript template svg select canvas audio video".split())
+NEVER = set("head form button dialog select template svg canvas audio video".split())
+BOILER_TAGS = set("nav header footer aside menu label fieldset noscript".split())
 KEPT_INSIDE = {"label", "noscript"}  # boilerplate only outside an article
 FOREIGN = {"svg", "math"}
 BOILER_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -69,8 +84,13 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？।؟]")
 
 WIDTH = 1.0  # of the Gaussian, in steps of a path
-HOLDS = 0.9  # share of the chosen text below the element that fuses paths
+STEP = [math.exp(-(d**2) / (2 * WIDTH**2)) for d in range(3)]
 REACH = 0.1  # share of the standard deviation of the ratios that a path must reach
+HOLDS = 0.75  # share of the chosen text below the element that fuses paths
+LINKED = 0.6  # share of links from which a block of the main part is a menu
+OVERRULES = 0.8  # share of plain text from which a marked element is none of what its name says
+ARTICLE = 0.25
+COMMENT_WORDS = set("comment comments commentlist disqus replies respond".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -93,163 +113,239 @@ def _marks(names: list[str]) -> set[str]:
     return found
 
 
+_ENDED = tuple(ENDS)
+
+
 class _Open:
-    """An element that is open: its step of the path, and what it says about
-    the text below it."""
+    """An element that is open: its path, and what it says about the text below it."""
 
-    __slots__ = ("tag", "step", "boiler", "link", "main", "title")
+    __slots__ = ("tag", "path", "never", "mark", "link", "main", "title", "heading", "foreign", "paragraph", "ends")
 
-    def __init__(self, tag: str, attrs: str, parent: _Open | None):
+    def __init__(self, tag: str, attrs: str, parent: _Open, depth: int, page: _Page):
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)} if attrs else {}
         classes = found.get("class", "").split()
         role = found.get("role")
-        inside = bool(parent and parent.main)
+        inside = parent.main
         # The id of a heading, or of a section of the article, is a slug of its title.
         slug = tag in HEADINGS or inside and tag == "section"
         words = _marks([*classes, *([] if slug else found.get("id", "").split())])
         # The header of an article holds its title; only the headings count.
-        self.title = inside and (tag == "header" or "header" in words) and not parent.boiler
-        marked = bool(words) and tag not in ("html", "body") or role in BOILER_ROLES
-        self.boiler = bool(parent and parent.boiler) or not self.title and (tag in BOILER_TAGS and not (inside and tag in KEPT_INSIDE) or marked)
-        self.main = inside or tag in MAIN_TAGS or role in MAIN_TAGS
-        self.link = tag == "a" or bool(parent and parent.link)
+        title = inside and not parent.mark and (tag == "header" or "header" in words)
+        marked = bool(words) and tag not in ("html", "body") or role in BOILER_ROLES or tag in BOILER_TAGS and not (inside and tag in KEPT_INSIDE)
         self.tag = tag
-        self.step = f"{tag}.{classes[0]}" if classes else tag
-
-
-def nodes(page: str) -> Iterator[tuple[int, tuple[str, ...], str, bool, bool, int]]:
-    """Text nodes in page order: ``(block, path, text, boilerplate, link,
-    number of the enclosing article or 0)``."""
-    stack: list[_Open] = []
+        self.never = parent.never or tag in NEVER
+        self.mark = page.marked(parent.mark, bool(words & COMMENT_WORDS)) if marked and not title else parent.mark
+        self.title = parent.title or title
+        self.heading = parent.heading or tag in HEADINGS
+        self.main = inside or tag in MAIN_TAGS or role in MAIN_TAGS
+        self.link = parent.link or tag == "a"
+        self.foreign = parent.foreign or tag in FOREIGN
+        self.path = page.path(parent.path, f"{tag}.{classes[0]}" if classes else tag, tag in BLOCK)
+        # Depth of an open paragraph that a block would end, and of elements that others end.
+        self.paragraph = depth if tag == "p" else 0 if tag in BLOCK else parent.paragraph
+        self.ends = parent.ends
+        for k, name in enumerate(_ENDED):
+            ended, container = ENDS[name]
+            if tag in ended or tag in container:
+                self.ends = (*self.ends[:k], depth if tag in ended else 0, *self.ends[k + 1 :])
+
+    @staticmethod
+    def root() -> _Open:
+        self = _Open.__new__(_Open)
+        self.tag, self.path, self.mark, self.paragraph, self.ends = "", 0, 0, 0, (0,) * len(_ENDED)
+        self.never = self.link = self.main = self.title = self.heading = self.foreign = False
+        return self
+
+
+class _Page:
+    """Paths as numbers: ``parent`` and ``step`` of each, path 0 is the root. Marked
+    elements the same way: ``above`` the mark that encloses each, mark 0 is none."""
+
+    def __init__(self) -> None:
+        self.parent, self.step, self.block = [0], [""], [False]
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.above, self.comments = [0], [False]
+        # Text nodes in page order: block, path, text, mark, link, article.
+        self.nodes: list[tuple[int, int, str, int, bool, int]] = []
+
+    def path(self, parent: int, step: str, block: bool) -> int:
+        number = self.numbers.setdefault((parent, step), len(self.parent))
+        if number == len(self.parent):
+            self.parent.append(parent)
+            self.step.append(step)
+            self.block.append(block)
+        return number
+
+    def marked(self, above: int, comments: bool) -> int:
+        self.above.append(above)
+        self.comments.append(comments)
+        return len(self.above) - 1
+
+
+LINE_BREAK = -1  # the path of a line break
+
+
+def read(page: str) -> _Page:
+    out = _Page()
+    stack = [_Open.root()]
+    is_open: dict[str, int] = {}
     block, at, articles, article = 0, 0, 0, 0
 
-    def text(until: int):
-        raw = page[at:until]
-        if raw:
-            top = stack[-1] if stack else None
-            byline = any(o.title for o in stack) and not any(o.tag in HEADINGS for o in stack)
-            path = tuple(o.step for o in stack)
-            yield block, path, html.unescape(raw), bool(top and top.boiler) or byline, bool(top and top.link), article
+    def text(until: int) -> None:
+        top = stack[-1]
+        if at < until and not top.never and not (top.title and not top.heading):
+            out.nodes.append((block, top.path, html.unescape(page[at:until]), top.mark, top.link, article))
 
     def close(depth: int) -> None:
         nonlocal article
+        for o in stack[depth:]:
+            is_open[o.tag] -= 1
         del stack[depth:]
-        if article and not (stack and stack[-1].main):
+        if article and not stack[-1].main:
             article = 0
 
-    for m in _TOKEN.finditer(page):
-        yield from text(m.start())
+    last = page.rfind(">") + 1  # nothing behind it can be a tag
+    for m in _TOKEN.finditer(page, 0, last):
+        text(m.start())
         at = m.end()
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:  # a comment, a declaration, or an element whose content is not text
+            if at == last and _unclosed(m):
+                at = len(page)
             continue
         if m["end"] or m["end2"]:
             block += tag in BLOCK
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    close(depth)
-                    break
+            if is_open.get(tag):
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                close(depth)
             continue
         if tag == "br":
-            yield block, (), " ", False, False, article
+            out.nodes.append((block, LINE_BREAK, " ", 0, False, article))
             continue
         block += tag in BLOCK
         if tag in VOID:
             continue
-        if tag in BLOCK:  # a paragraph ends where a block begins, through any inline elements
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == "p":
-                    close(depth)
-                    break
-                if stack[depth].tag in BLOCK:
-                    break
-        if tag in ENDS:
-            ended, container = ENDS[tag]
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag in container:
-                    break
-                if stack[depth].tag in ended:
-                    close(depth)
-                    break
+        if tag in BLOCK and stack[-1].paragraph:  # a paragraph ends where a block begins, through any inline elements
+            close(stack[-1].paragraph)
+        if tag in ENDS and stack[-1].ends[_ENDED.index(tag)]:
+            close(stack[-1].ends[_ENDED.index(tag)])
         attrs = (m["attrs"] if m["tag"] else m["attrs2"]) or ""
-        if attrs.endswith("/") and (tag in FOREIGN or any(o.tag in FOREIGN for o in stack)):
+        if attrs.endswith("/") and (tag in FOREIGN or stack[-1].foreign):
             continue
-        opened = _Open(tag, attrs, stack[-1] if stack else None)
+        opened = _Open(tag, attrs, stack[-1], len(stack), out)
         stack.append(opened)
+        is_open[tag] = is_open.get(tag, 0) + 1
         if opened.main and not article:
             articles += 1
             article = articles
-    yield from text(len(page))
-
-
-def _distance(a: tuple[str, ...], b: tuple[str, ...], most: int) -> int:
-    """Edit distance of two paths, or ``most`` if it is that or more."""
-    while a and b and a[0] == b[0]:
-        a, b = a[1:], b[1:]
-    if abs(len(a) - len(b)) >= most:
-        return most
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return min(most, row[-1])
-
-
-FAR = 4
-
-
-def _chosen(page_nodes: list) -> set[tuple[str, ...]]:
-    """Paths whose smoothed ratio reaches the threshold."""
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for _, path, text, boiler, link, _ in page_nodes:
-        size = len(text) - text.count(" ")
-        if boiler or not size or text.isspace():
-            continue
-        s = sums.setdefault(path, [0, 0, 0, 0])
-        s[0] += size
-        s[1] += 0 if link else size
-        s[2] += len(PUNCTUATION.findall(text))
-        s[3] += 1
-    if not sums:
-        return set()
-    ratio = {p: (plain / nodes) * (plain / size) * (1 + punct / nodes) for p, (size, plain, punct, nodes) in sums.items()}
-    weight = [math.exp(-(d**2) / (2 * WIDTH**2)) for d in range(FAR)] + [0.0]
-    smooth = {p: sum(weight[_distance(p, q, FAR)] * r for q, r in ratio.items()) for p in ratio}
-    mean = sum(ratio.values()) / len(ratio)
-    spread = math.sqrt(sum((r - mean) ** 2 for r in ratio.values()) / len(ratio))
-    chosen = {p for p, s in smooth.items() if s > 0 and s >= REACH * (spread or mean)}
-    return chosen | _beside(chosen, sums)
-
-
-def _beside(chosen: set[tuple[str, ...]], sums: dict[tuple[str, ...], list[float]]) -> set[tuple[str, ...]]:
-    """Fuses the chosen paths: all paths below the innermost element, inside
-    the body, that holds nearly all of the chosen text."""
-    under: dict[tuple[str, ...], float] = {}
-    for path in chosen:
-        for depth in range(1, len(path)):
-            under[path[:depth]] = under.get(path[:depth], 0) + sums[path][0]
-    total = sum(sums[p][0] for p in chosen)
-    holders = [p for p, size in under.items() if size >= HOLDS * total and p[-1].split(".")[0] not in ("html", "body")]
-    if not holders:
-        return set()
-    holder = max(holders, key=len)
-    return {p for p in sums if p[: len(holder)] == holder}
-
-
-def main_text(page: str | None) -> str:
-    held = list(nodes(page or ""))
-    chosen = _chosen(held)
-    size: dict[int, int] = {}
-    for _, path, text, boiler, _, article in held:
-        if not boiler and path in chosen:
-            size[article] = size.get(article, 0) + len(text)
-    marked = any(n for a, n in size.items() if a)
+    comment = page.find("<!--", max(at, last))
+    text(comment if comment >= 0 else len(page))
+    return out
+
+
+def _unclosed(m: re.Match) -> bool:
+    """Whether a comment or an element without text runs on behind the last tag."""
+    if m["raw"]:
+        return not re.search(rf"</{m['raw']}\s*>\Z", m[0], re.I)
+    return m[0].startswith("<!--") and not m[0].endswith("-->")
+
+
+def _visible(text: str) -> int:
+    return len(text) - text.count(" ") if not text.isspace() else 0
+
+
+def boilerplate(page: _Page) -> list[bool]:
+    """Of each mark, whether it stands. Marked text may be the page's main text after
+    all; then the ratio of plain text overrules the name."""
+    plain, held = 0, [0] * len(page.above)
+    for _, _, text, mark, link, _ in page.nodes:
+        size = 0 if link else _visible(text)
+        plain += size
+        held[mark] += size
+    for mark in range(len(held) - 1, 0, -1):
+        held[page.above[mark]] += held[mark] if page.above[mark] else 0
+    out = [False]
+    for mark in range(1, len(held)):
+        stands = page.comments[mark] or held[mark] < OVERRULES * plain or not plain
+        out.append(stands or out[page.above[mark]])
+    return out
+
+
+def smoothed(parent: list[int], ratio: list[float]) -> list[float]:
+    """Ratios with those of paths up to two steps away: above and below, and beside
+    (one step). Path 0 is above all and has no ratio."""
+    n = len(parent)
+    below, two_below = [0.0] * n, [0.0] * n
+    for p in range(1, n):
+        below[parent[p]] += ratio[p]
+    for p in range(1, n):
+        two_below[parent[p]] += below[p]
+    out = [0.0] * n
+    for p in range(1, n):
+        up = parent[p]
+        beside = below[up] - ratio[p]
+        two_up = ratio[parent[up]] if up else 0.0
+        out[p] = ratio[p] + STEP[1] * (ratio[up] + below[p] + beside) + STEP[2] * (two_up + two_below[p])
+    return out
+
+
+def chosen_paths(page: _Page, texts: list[tuple[int, str, bool]]) -> list[bool]:
+    """Of each path, whether it belongs to the main part, given ``path, text, link``."""
+    n = len(page.parent)
+    size, plain, points, count = [0] * n, [0] * n, [0] * n, [0] * n
+    for path, text, link in texts:
+        seen = _visible(text)
+        if seen:
+            size[path] += seen
+            plain[path] += 0 if link else seen
+            points[path] += len(PUNCTUATION.findall(text))
+            count[path] += 1
+    ratio = [(plain[p] / count[p]) * (plain[p] / size[p]) * (1 + points[p] / count[p]) if size[p] else 0.0 for p in range(n)]
+    held = [p for p in range(n) if size[p]]
+    if not held:
+        return [False] * n
+    smooth = smoothed(page.parent, ratio)
+    mean = sum(ratio) / len(held)
+    spread = math.sqrt(sum((ratio[p] - mean) ** 2 for p in held) / len(held))
+    chosen = [smooth[p] > 0 and smooth[p] >= REACH * (spread or mean) for p in range(n)]
+    # Sums over whole subtrees; a path comes behind the one above it.
+    mass, all_text, links = [size[p] if chosen[p] else 0 for p in range(n)], size[:], [size[p] - plain[p] for p in range(n)]
+    depth = [0] * n
+    for p in range(n - 1, 0, -1):
+        for sums in (mass, all_text, links):
+            sums[page.parent[p]] += sums[p]
+    for p in range(1, n):
+        depth[p] = depth[page.parent[p]] + 1
+    holders = [p for p in range(1, n) if mass[p] >= HOLDS * mass[0] and page.block[p] and page.step[p].split(".")[0] not in ("html", "body", "p")]
+    holder = max(holders, key=depth.__getitem__, default=0)
+    inside, menu = [False] * n, [False] * n
+    for p in range(1, n):
+        up = page.parent[p]
+        inside[p] = p == holder or inside[up]
+        menu[p] = menu[up] or p != holder and page.block[p] and links[p] > LINKED * all_text[p]
+    return [(inside[p] if holder else chosen[p]) and not menu[p] for p in range(n)]
+
+
+def main_text(page: str | None, ratios: bool = True, lists: bool = True) -> str:
+    """``ratios`` and ``lists`` switch off the judgement of paths and the priors, to
+    see what each decides."""
+    held = read(page or "")
+    stands = boilerplate(held) if lists else [False] * len(held.above)
+    texts = [x for x in held.nodes if x[1] == LINE_BREAK or not stands[x[3]]]
+    total = sum(_visible(x[2]) for x in texts if not x[4])
+    within = sum(_visible(x[2]) for x in texts if not x[4] and x[5])
+    if lists and within and within >= ARTICLE * total:
+        texts = [x for x in texts if x[5]]
+    asked = [(path, text, link) for _, path, text, _, link, _ in texts if path != LINE_BREAK]
+    chosen = chosen_paths(held, asked) if ratios else [True] * len(held.parent)
     blocks: dict[int, list[str]] = {}
-    for block, path, text, boiler, _, article in held:
-        if not path and block in blocks:
-            blocks[block].append(text)  # a line break
-        elif path in chosen and not boiler and (article or not marked):
+    for block, path, text, _, _, _ in texts:
+        if path == LINE_BREAK:
+            if block in blocks:
+                blocks[block].append(text)
+        elif chosen[path]:
             blocks.setdefault(block, []).append(text)
     joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(t for t in joined if t)
