@@ -12,9 +12,12 @@ and a group's sketch has at most ``BUCKETS`` rows. Source sketches add up to
 language sketches, which judge the sources with fewer than ``FEWEST``
 documents and those whose source is null.
 
-A document is out if a ratio lies beyond the group's outer fence, which is
-``Q3 + REACH * (Q3 - Q1)``, and beyond ``FLOORS``, below which a value is
-ordinary whatever the peers do (for characters per word also the lower fence).
+A document is out if a ratio lies beyond the group's fence, the nine-tenths quantile
+plus ``REACH`` times its distance from the median and a margin of ``MARGIN`` (for
+characters per word also below the fence on the other side). The fences decide: a
+ratio that nearly all peers have at zero has a fence at ``LEAST_HELD``, a few
+hundredths, and ``FREE`` of its units count for nothing, so that a head or passage
+that comes twice is not held against a short text.
 Documents that fail the fixed base rules teach nothing and are not kept.
 
 Defined results: null text has no words and fails; null language or source is
@@ -38,11 +41,13 @@ GROWTH = 1.05
 BUCKETS = 400  # bounds from 1e-4 to about 3e4
 LEAST = 1e-4
 REACH = 3.0
+MARGIN = 0.1  # of the outer quantile
+OUTER = 0.9
 FEWEST = 200
 
-# A ratio up to this is never held against a document.
-FLOORS = {"symbol_ratio": 0.10, "repeat_ratio": 0.25, "dup_line_ratio": 0.50, "mean_chars": 12.0}
-LOWEST_MEAN_CHARS = 2.5
+# The judged ratios. Where a group's fence is lower than this, it is this.
+LEAST_HELD = {"symbol_ratio": 0.03, "repeat_ratio": 0.05, "dup_line_ratio": 0.10, "mean_chars": 0.0}
+FREE = {"repeat_ratio": 40, "dup_line_ratio": 2}  # words, lines
 
 # Fixed values of the base rules and of the characters they count.
 BLANKS = r"[ \t\n\x0B\f\r]"
@@ -134,14 +139,15 @@ def _quantile(cum: str, total: str, q: float) -> Column:
 
 
 def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Outer fences and size per group and ratio from ``keys, ratio, bucket, n``."""
+    """Fences and size per group and ratio from ``keys, ratio, bucket, n``."""
     group = Window.partitionBy(*keys, "ratio")  # at most BUCKETS rows
     running = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     summed = sketches.withColumn("cum", F.sum("n").over(running)).withColumn("total", F.sum("n").over(group))
-    found = summed.groupBy(*keys, "ratio").agg(_quantile("cum", "total", 0.25).alias("q1"), _quantile("cum", "total", 0.75).alias("q3"), F.max("total").alias("size"))
-    spread = REACH * (F.col("q3") - F.col("q1"))
-    wide = found.withColumn("hi", F.col("q3") + spread).withColumn("lo", F.col("q1") - spread)
-    aggs = [F.max(F.when(F.col("ratio") == r, F.col("hi"))).alias(f"{r}_hi") for r in FLOORS]
+    quantiles = [_quantile("cum", "total", q).alias(name) for name, q in (("low", 1 - OUTER), ("mid", 0.5), ("high", OUTER))]
+    found = summed.groupBy(*keys, "ratio").agg(*quantiles, F.max("total").alias("size"))
+    wide = found.withColumn("hi", (1 + MARGIN) * F.col("high") + REACH * (F.col("high") - F.col("mid")))
+    wide = wide.withColumn("lo", (1 - MARGIN) * F.col("low") - REACH * (F.col("mid") - F.col("low")))
+    aggs = [F.max(F.when(F.col("ratio") == r, F.greatest(F.col("hi"), F.lit(least)))).alias(f"{r}_hi") for r, least in LEAST_HELD.items()]
     return wide.groupBy(*keys).agg(*aggs, F.max(F.when(F.col("ratio") == "mean_chars", F.col("lo"))).alias("mean_chars_lo"), F.max("size").alias("size"))
 
 
@@ -157,20 +163,20 @@ def judge(docs: DataFrame) -> DataFrame:
         *STATS,
         base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"),
         (F.col("n_symbols") / n).alias("symbol_ratio"),
-        (F.col("n_repeat_words") / n).alias("repeat_ratio"),
-        (F.col("n_dup_lines") / F.col("n_lines")).alias("dup_line_ratio"),
+        (F.greatest(F.col("n_repeat_words") - FREE["repeat_ratio"], F.lit(0)) / n).alias("repeat_ratio"),
+        (F.greatest(F.col("n_dup_lines") - FREE["dup_line_ratio"], F.lit(0)) / F.col("n_lines")).alias("dup_line_ratio"),
         (F.col("word_chars") / n).alias("mean_chars"),
     )
     doc = materialize(doc, "quality")  # a row of numbers per document
-    values = F.explode(F.array(*[F.struct(F.lit(r).alias("ratio"), bucket(F.col(r)).alias("bucket")) for r in FLOORS]))
+    values = F.explode(F.array(*[F.struct(F.lit(r).alias("ratio"), bucket(F.col(r)).alias("bucket")) for r in LEAST_HELD]))
     sketches = doc.filter(~F.col("base_failed")).select("lang", "source", values.alias("v")).groupBy("lang", "source", "v.ratio", "v.bucket").agg(F.count("*").alias("n"))
     own = fences(sketches, ["lang", "source"]).filter((F.col("size") >= FEWEST) & F.col("source").isNotNull())
     shared = fences(sketches.groupBy("lang", "ratio", "bucket").agg(F.sum("n").alias("n")), ["lang"])
-    own = own.select(F.col("lang").alias("ol"), F.col("source").alias("os"), F.struct(*[c for c in own.columns if c.startswith(tuple(FLOORS))]).alias("own"))
-    shared = shared.select(F.col("lang").alias("sl"), F.struct(*[c for c in shared.columns if c.startswith(tuple(FLOORS))]).alias("shared"))
+    own = own.select(F.col("lang").alias("ol"), F.col("source").alias("os"), F.struct(*[c for c in own.columns if c.startswith(tuple(LEAST_HELD))]).alias("own"))
+    shared = shared.select(F.col("lang").alias("sl"), F.struct(*[c for c in shared.columns if c.startswith(tuple(LEAST_HELD))]).alias("shared"))
     joined = doc.join(own, F.col("lang").eqNullSafe(F.col("ol")) & (F.col("source") == F.col("os")), "left").join(shared, F.col("lang").eqNullSafe(F.col("sl")), "left")
     fence = F.coalesce("own", "shared")
-    out = [F.col(r) > F.greatest(fence[f"{r}_hi"], F.lit(floor)) for r, floor in FLOORS.items()]
-    out.append(F.col("mean_chars") < F.least(fence["mean_chars_lo"], F.lit(LOWEST_MEAN_CHARS)))
+    out = [F.col(r) > fence[f"{r}_hi"] for r in LEAST_HELD]
+    out.append(F.col("mean_chars") < fence["mean_chars_lo"])
     beyond = reduce(lambda a, b: a | b, [F.coalesce(o, F.lit(False)) for o in out])
     return joined.select("doc_id", *STATS, "base_failed", (~F.col("base_failed") & ~beyond).alias("kept"))

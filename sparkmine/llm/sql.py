@@ -91,11 +91,14 @@ def _bound(q: float) -> str:
 
 
 def _fences(keys: str, rows: str) -> str:
-    his = ", ".join(f"max(CASE WHEN ratio = '{r}' THEN q3 + {quality.REACH} * (q3 - q1) END) AS {r}_hi" for r in quality.FLOORS)
+    his = ", ".join(
+        f"max(CASE WHEN ratio = '{r}' THEN greatest({1 + quality.MARGIN} * high + {quality.REACH} * (high - mid), {least}) END) AS {r}_hi" for r, least in quality.LEAST_HELD.items()
+    )
     return f"""(
-  SELECT {keys}, {his}, max(CASE WHEN ratio = 'mean_chars' THEN q1 - {quality.REACH} * (q3 - q1) END) AS mean_chars_lo, max(size) AS size
+  SELECT {keys}, {his},
+    max(CASE WHEN ratio = 'mean_chars' THEN {1 - quality.MARGIN} * low - {quality.REACH} * (mid - low) END) AS mean_chars_lo, max(size) AS size
   FROM (
-    SELECT {keys}, ratio, {_bound(0.25)} AS q1, {_bound(0.75)} AS q3, max(total) AS size
+    SELECT {keys}, ratio, {_bound(1 - quality.OUTER)} AS low, {_bound(0.5)} AS mid, {_bound(quality.OUTER)} AS high, max(total) AS size
     FROM (
       SELECT {keys}, ratio, bucket, sum(n) OVER (PARTITION BY {keys}, ratio ORDER BY bucket) AS cum, sum(n) OVER (PARTITION BY {keys}, ratio) AS total
       FROM {rows}
@@ -105,8 +108,8 @@ def _fences(keys: str, rows: str) -> str:
 
 
 _BEYOND = " OR ".join(
-    [f"coalesce({r} > greatest(CASE WHEN o.size IS NULL THEN s.{r}_hi ELSE o.{r}_hi END, {floor}), false)" for r, floor in quality.FLOORS.items()]
-    + [f"coalesce(mean_chars < least(CASE WHEN o.size IS NULL THEN s.mean_chars_lo ELSE o.mean_chars_lo END, {quality.LOWEST_MEAN_CHARS}), false)"]
+    [f"coalesce({r} > CASE WHEN o.size IS NULL THEN s.{r}_hi ELSE o.{r}_hi END, false)" for r in quality.LEAST_HELD]
+    + ["coalesce(mean_chars < CASE WHEN o.size IS NULL THEN s.mean_chars_lo ELSE o.mean_chars_lo END, false)"]
 )
 QUALITY_RULES = f"""
 WITH d AS (
@@ -127,10 +130,10 @@ stats AS (
 ),
 q AS (
   SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-    n_symbols / greatest(n_words, 1) AS symbol_ratio, n_repeat_words / greatest(n_words, 1) AS repeat_ratio,
-    n_dup_lines / n_lines AS dup_line_ratio, word_chars / greatest(n_words, 1) AS mean_chars FROM stats
+    n_symbols / greatest(n_words, 1) AS symbol_ratio, greatest(n_repeat_words - {quality.FREE["repeat_ratio"]}, 0) / greatest(n_words, 1) AS repeat_ratio,
+    greatest(n_dup_lines - {quality.FREE["dup_line_ratio"]}, 0) / n_lines AS dup_line_ratio, word_chars / greatest(n_words, 1) AS mean_chars FROM stats
 ),
-vals AS ({" UNION ALL ".join(f"SELECT lang, source, '{r}' AS ratio, {r} AS v FROM q WHERE NOT base_failed" for r in quality.FLOORS)}),
+vals AS ({" UNION ALL ".join(f"SELECT lang, source, '{r}' AS ratio, {r} AS v FROM q WHERE NOT base_failed" for r in quality.LEAST_HELD)}),
 own AS (SELECT lang, source, ratio, {_BUCKET} AS bucket, count(*) AS n FROM vals GROUP BY ALL),
 shared AS (SELECT lang, ratio, bucket, sum(n) AS n FROM own GROUP BY ALL),
 o AS (SELECT * FROM {_fences("lang, source", "own")} WHERE size >= {quality.FEWEST} AND source IS NOT NULL),

@@ -62,8 +62,28 @@ def test_sketch_quantiles_are_near_the_true_ones(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double").select(F.lit("g").alias("g"), F.lit("mean_chars").alias("ratio"), quality.bucket(F.col("v")).alias("bucket"))
     (r,) = quality.fences(df.groupBy("g", "ratio", "bucket").agg(F.count("*").alias("n")), ["g"]).collect()
     values.sort()
-    q1, q3 = values[499], values[1499]
-    assert abs(r.mean_chars_hi / (q3 + 3 * (q3 - q1)) - 1) < 2 * (quality.GROWTH - 1) and r.size == 2000
+    low, mid, high = values[199], values[999], values[1799]
+    assert abs(r.mean_chars_hi / (1.1 * high + 3 * (high - mid)) - 1) < 2 * (quality.GROWTH - 1) and r.size == 2000
+    assert abs(r.mean_chars_lo - (0.9 * low - 3 * (mid - low))) < 4 * (quality.GROWTH - 1) * mid
+
+
+def test_fences_decide_below_any_fixed_rate(spark):
+    """A seventh of a symbol per word, words of nine letters: each ordinary in one
+    source and out in the other, whatever is ordinary elsewhere."""
+    wide = lambda i: " ".join("".join(random.Random(f"{i}-{k}").choices("abcdefgh", k=9)) for k in range(60))
+    price = lambda i: prose(i) + " $" * (3 + i % 9)
+    shop, news, law = [(i, price(i), "en", "shop") for i in range(250)], [(1000 + i, prose(i), "en", "news") for i in range(300)], [(2000 + i, wide(i), "en", "law") for i in range(250)]
+    odd = [(3000, prose(1) + " $" * 4, "en", "shop"), (3001, prose(2) + " $" * 4, "en", "news"), (3002, wide(7), "en", "law"), (3003, wide(8), "en", "news"), (3004, " ".join(["ab"] * 0 + [f"{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]), "en", "law")]
+    got = {r.doc_id: r.kept for r in judged(spark, shop + news + law + odd).collect()}
+    assert all(got[d[0]] for d in shop + news + law)
+    assert [got[i] for i in range(3000, 3005)] == [True, False, True, False, False]
+
+
+def test_very_long_text(spark):
+    """Every word of it counts."""
+    text = "\n".join(prose(i, 20) for i in range(20_000))
+    (r,) = judged(spark, [(1, text, "en", "a")]).collect()
+    assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines) == by_hand(text)[:4]
 
 
 def test_empty_and_repeated(spark):
