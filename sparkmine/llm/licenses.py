@@ -1,8 +1,7 @@
 """Licence scan by canonical digests. Built-in expressions only.
 
-A text is brought to a canonical form: lower case; copyright lines dropped, with
-or without a year;
-everything but letters, digits and bytes beyond ASCII read as blank; runs of
+A text is brought to a canonical form: lines dropped that name a copyright holder
+and say nothing else; lower case; everything but letters, digits and bytes beyond ASCII read as blank; runs of
 blanks made one; equivalent spellings made one. The SHA-256 digest of the whole
 canonical text is hash-joined with the digests of the known licences, so equal
 licences meet whatever their layout. Every line is looked up the same way, for
@@ -23,40 +22,36 @@ from sparkmine.llm.license_texts import LICENSES
 
 
 
-def _other(words: set[str]) -> str:
-    """Pattern of the rest of a word that is none of ``words``, without look-ahead."""
-    heads = "".join(sorted({w[0] for w in words if w}))
-    alts = [f"[{_ranges(heads)}][a-z0-9]*"] + [c + _other({w[1:] for w in words if w[:1] == c}) for c in heads]
-    return f"(?:{'|'.join(alts)}){'' if '' in words else '?'}"
-
-
-def _ranges(but: str) -> str:
-    """Letters and digits other than those of ``but``, as ranges of a class."""
-    kept = "".join(" " if c in but else c for c in "0123456789 abcdefghijklmnopqrstuvwxyz").split()
-    return "".join(run if len(run) < 3 else f"{run[0]}-{run[-1]}" for run in kept)
-
-
-# Lines that state a copyright, and spellings that are one. A
-# statement names a year or a sign, or else a holder: a line that goes on with
-# one of ``BODY`` is part of a wrapped text, a list or prose.
-BODY = set(
-    "a above act acts all also an and any are as assignment at be been before but by c can claim claims clearance clearances contributor "
-    "copyright disclaimer disclaimers doctrine doctrines does each exception exceptions file following for from grant granted has have held "
-    "holder holders if in infringement infringements interest interests is it its law laws legislation library license licensed licensee "
-    "licenses licensing licensor like line lines material materials may must no not notice notices of office on only or owned owner owners "
-    "ownership patent patents permission permissions policy program protected protection protections registration registrations related "
-    "representations resulting right rights same shall should software statement statements status such term terms that the their then these "
-    "they this those to treaties treaty under was we were when where which while who will with without work works you your".split()
+# Lines that state a copyright, and spellings that are one. Such a line
+# begins with a sign or word for copyright and goes on with years and a holder. It says
+# more, and stays, if it has a semicolon or a word of SAYS (a name may begin with one of
+# NAMES). Without a year it also stays if its first word beside JOINS is one of BODY, as
+# in wrapped texts, lists and prose, or if a word is neither written as a name nor one of
+# JOINS and HOLDERS, or all are JOINS.
+_GAP = r"[^a-z0-9(&\x{80}-\x{10FFFF}]"
+MARK = (
+    rf"(?i)^[^a-z0-9©(]*(?:(?:portions|parts|modifications|additions|changes|contributions){_GAP}+(?:are{_GAP}+)?)?"
+    rf"(?:copyright\b{_GAP}*(?:\(c\)|©|&copy;)?|\(c\){_GAP}*(?:copyright\b)?|©|spdx-filecopyrighttext:){_GAP}*(?:by{_GAP}+)?"
 )
-_GAP = r"[^a-z0-9\n]+"
-COPYRIGHT_LINE = (
-    rf"^[^a-z0-9\n]*(?:(?:portions|parts|modifications|additions|changes|contributions){_GAP}(?:are{_GAP})?)?"
-    r"(?:copyright[^a-z0-9\n]*(?:c\)[^a-z0-9\n]*)?(?:[0-9]{4}|year|yyyy)|\(c\)[^a-z0-9\n]*(?:[0-9]{4}|copyright[^a-z0-9])"
-    rf"|copyright[^a-z0-9\n]*(?:\(c\)|©|&copy;)|copyright{_GAP}by{_GAP}[a-z0-9]|spdx-filecopyrighttext:|©[^a-z0-9\n]*[a-z0-9]"
-    r"|all rights reserved[^a-z0-9\n]*$"
-    rf"|(?:copyright|\(c\)){_GAP}(?:the{_GAP})?{_other(BODY | {''})}(?:[^a-z0-9\n][^\n;]{{0,100}})?$)[^\n]*"
-)
-JAVA_LINES = "(?dm)"  # only a line feed ends a line
+RESERVED = r"(?i)^[^a-z0-9]*all rights reserved[^a-z0-9]*$"
+ASIDE = r"(?i)all rights reserved|\S*@\S*|\S+://\S*"
+YEAR_FIRST = r"(?i)^[^a-z0-9]*(?:[0-9]{4}|year|yyyy)"
+YEAR = r"^(?:[0-9]{4}|[0-9]{2}|year|yyyy|present)$"
+BETWEEN = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
+SAYS = (
+    "am are be been can cannot did do does except forbidden granted had has have if is its may must need needs no not permitted prohibited required shall "
+    "should than that their them these they this those under unless until was were when where which who will with without you your"
+).split()
+NAMES = ["may", "will"]
+JOINS = "a al all an and by da de del der di et for from in la le of on or the to van von".split()
+HOLDERS = "author authors co company contributor contributors developers gmbh inc llc ltd original others project team".split()
+BODY = (
+    "above act acts also any as assignment before but c claim claims clearance clearances copyright disclaimer disclaimers doctrine doctrines each exception "
+    "exceptions file following grant held holder holders infringement infringements interest interests it law laws legislation library license licensed licensee "
+    "licenses licensing licensor like line lines material materials notice notices office only owned owner owners ownership patent patents permission permissions "
+    "policy program protected protection protections registration registrations related representations resulting right rights same software statement statements "
+    "status such term terms then there treaties treaty we while work works"
+).split()
 PUNCTUATION = r"[\x00-\x1F !-/:-@\[-`{-\x7F]+"
 SPELLINGS = [
     ("licence", "license"),
@@ -74,7 +69,35 @@ SPELLINGS = [
 
 
 def canonical(text: Column) -> Column:
-    return _respelt(_plain(F.regexp_replace(F.lower(text), JAVA_LINES + COPYRIGHT_LINE, " ")))
+    return _respelt(_plain(lowered(text)))
+
+
+def lowered(text: Column) -> Column:
+    """The text in lower case, lines that state a copyright left empty."""
+    return F.lower(F.array_join(F.transform(F.split(text, "\n"), lambda x: F.when(states_copyright(x), F.lit("")).otherwise(x)), "\n"))
+
+
+def states_copyright(line: Column) -> Column:
+    return F.when(line.rlike(RESERVED), F.lit(True)).when(line.rlike(MARK), _holder(F.regexp_replace(line, MARK, ""))).otherwise(F.lit(False))
+
+
+def _holder(rest: Column) -> Column:
+    """Whether what follows the mark is years and a holder and nothing else."""
+    named = F.regexp_replace(rest, ASIDE, " ")
+    stated = F.filter(F.split(named, BETWEEN), lambda w: (w != "") & ~F.lower(w).rlike(YEAR))
+    dated = named.rlike(YEAR_FIRST)
+    of = lambda words: F.array(*map(F.lit, words))
+
+    def judged(words: Column) -> Column:
+        low = F.transform(words, lambda w: F.lower(w))
+        name_first = (F.size(low) <= 3) & F.coalesce(F.array_contains(of(NAMES), F.get(low, F.lit(0))), F.lit(False))
+        says = F.when(name_first, F.slice(low, 2, 3)).otherwise(low)
+        held = F.filter(low, lambda w: ~F.array_contains(of(JOINS), w))
+        written = F.forall(words, lambda w: ~w.rlike("^[a-z]") | F.array_contains(of(JOINS + HOLDERS), F.lower(w)))
+        bare = (F.size(held) > 0) & written & ~F.coalesce(F.array_contains(of(BODY), F.get(held, F.lit(0))), F.lit(False))
+        return ~F.contains(named, F.lit(";")) & ~F.arrays_overlap(says, of(SAYS)) & (dated | bare)
+
+    return F.transform(F.array(stated), judged)[0]
 
 
 def _plain(lowered: Column) -> Column:
@@ -104,10 +127,10 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] = LICENSES) -> DataFrame:
     digests = known_digests(docs.sparkSession, known)
     of = {r["digest"]: r["license"] for r in digests.collect()}  # one row per known text at most
     lookup = F.create_map(*[F.lit(v) for pair in sorted(of.items()) for v in pair]) if of else F.create_map().cast("map<string,string>")
-    lowered = F.regexp_replace(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), JAVA_LINES + COPYRIGHT_LINE, " ")
+    low = lowered(F.coalesce(F.col("text").cast("string"), F.lit("")))
     lines = F.split("lowered", "\n")
     found = F.filter(F.transform(lines, lambda x: lookup[digest(_respelt(_plain(x)))]), lambda x: x.isNotNull())
-    marked = docs.select("doc_id", lowered.alias("lowered")).select("doc_id", digest(_respelt(_plain(F.col("lowered")))).alias("digest"), found.alias("found"))
+    marked = docs.select("doc_id", low.alias("lowered")).select("doc_id", digest(_respelt(_plain(F.col("lowered")))).alias("digest"), found.alias("found"))
     whole = digests.select(F.col("digest").alias("known"), "license")
     return marked.join(whole, F.col("digest") == F.col("known"), "left").select(
         "doc_id",

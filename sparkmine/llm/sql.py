@@ -26,8 +26,26 @@ def _respelt(plain: str) -> str:
     return f"trim({plain})"
 
 
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(map(_text, words)) + "]"
+
+
+_REST = f"regexp_replace(regexp_replace(x, {_text(licenses.MARK)}, ''), {_text(licenses.ASIDE)}, ' ', 'g')"
+_STATED = f"list_filter(regexp_split_to_array({_REST}, {_text(licenses.BETWEEN)}), lambda w: w <> '' AND NOT regexp_matches(lower(w), {_text(licenses.YEAR)}))"
+_LOW = f"list_transform({_STATED}, lambda w: lower(w))"
+_NAME_FIRST = f"(len({_STATED}) <= 3 AND coalesce(list_contains({_list(licenses.NAMES)}, {_LOW}[1]), false))"
+_UNWRITTEN = f"list_filter({_STATED}, lambda w: regexp_matches(w, '^[a-z]') AND NOT list_contains({_list(licenses.JOINS + licenses.HOLDERS)}, lower(w)))"
+_HELD = f"list_filter({_LOW}, lambda w: NOT list_contains({_list(licenses.JOINS)}, w))"
+_BARE = f"(len({_HELD}) > 0 AND len({_UNWRITTEN}) = 0 AND NOT coalesce(list_contains({_list(licenses.BODY)}, {_HELD}[1]), false))"
+_HOLDER = (
+    f"NOT contains({_REST}, ';') AND NOT list_has_any(CASE WHEN {_NAME_FIRST} THEN {_LOW}[2:] ELSE {_LOW} END, {_list(licenses.SAYS)}) "
+    f"AND (regexp_matches({_REST}, {_text(licenses.YEAR_FIRST)}) OR {_BARE})"
+)
+_STATES = f"CASE WHEN regexp_matches(x, {_text(licenses.RESERVED)}) THEN true WHEN regexp_matches(x, {_text(licenses.MARK)}) THEN {_HOLDER} ELSE false END"
+
+
 def _lowered(text: str) -> str:
-    return f"regexp_replace(lower({text}), {_text('(?m)' + licenses.COPYRIGHT_LINE)}, ' ', 'g')"
+    return f"lower(array_to_string(list_transform(string_split({text}, chr(10)), lambda x: CASE WHEN {_STATES} THEN '' ELSE x END), chr(10)))"
 
 
 def _digest(lowered: str) -> str:

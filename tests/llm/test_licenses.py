@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 from sparkmine.llm import licenses
@@ -110,3 +111,85 @@ def test_prose_lines_stay(spark):
     lines = ["Copyright notices must be kept.", "Copyright infringement is a crime.", "copyright", "copyright the", "(c) you must pay for it", "(c) the licensee pays", "copyright and patents", "A note on copyright Jane"]
     got = scanned(spark, [MIT + "\n" + x for x in lines])
     assert all(r.license is None for r in got.values())
+
+
+ADDED = [
+    "(c) Redistribution for military use is forbidden", "(c) Commercial use needs a fee", "Copyright (c) 2020 X; commercial use forbidden without a fee",
+    "(c) Commercial use costs money", "Copyright 2020 X. You must pay", "Copyright X, who must be paid", "Copyright may apply", "(c) May be sold only in " + "far " * 60 + "lands",
+]
+
+
+def test_no_text_with_added_words_matches(spark):
+    texts = [t for x in ADDED for t in (f"{x}\n{MIT}", f"{MIT}\n{x}", f"Copyright (c) 2001 B\n{x}\n{MIT}")]
+    assert all(r.license is None for r in scanned(spark, texts).values())
+
+
+def test_names_that_are_words_and_long_holders(spark):
+    heads = ["Copyright Will Smith", "Copyright May Lee", "Copyright (c) 2020 Will Smith", "(c) A", "Copyright " + "Very " * 60 + "Long Company Name Inc.", "copyright 2015 jquery foundation and other contributors"]
+    got = scanned(spark, [f"{h}\n{MIT}" for h in heads[:3] + heads[4:]])
+    assert all(r.license == "MIT" for r in got.values())
+
+
+def plain_holder(line):
+    """The same decision word by word, without a pattern for the line."""
+    low = line.lower()
+    words, kinds = [], []
+    for c in line:
+        inside = c.isascii() and c.isalnum() or ord(c) > 127 and c != "©"
+        if inside and kinds and kinds[-1]:
+            words[-1] += c
+        elif inside:
+            words.append(c)
+        kinds.append(inside)
+    if [w.lower() for w in words] == ["all", "rights", "reserved"]:
+        return True
+    heads = {"portions", "parts", "modifications", "additions", "changes", "contributions"}
+    rest = [w.lower() for w in words]
+    if rest and rest[0] in heads:
+        rest = rest[1:]
+        rest = rest[1:] if rest[:1] == ["are"] else rest
+    taken = len(words) - len(rest)
+    sign = "©" in low or "(c)" in low
+    if rest[:1] == ["copyright"]:
+        rest = rest[1:]
+        rest = rest[1:] if rest[:1] == ["c"] and "(c)" in low or rest[:1] == ["copy"] and "&copy;" in low else rest
+    elif rest[:1] == ["c"] and "(c)" in low:
+        rest = rest[1:]
+        rest = rest[1:] if rest[:1] == ["copyright"] else rest
+    elif not (sign and low.lstrip(" *#/-.").startswith("©") or taken and sign):
+        return False
+    names = words[len(words) - len(rest) :]
+    if names[:1] and names[0].lower() == "by":
+        names = names[1:]
+    joined = " ".join(names).lower()
+    while "all rights reserved" in joined:
+        cut = next(i for i in range(len(names)) if [w.lower() for w in names[i : i + 3]] == ["all", "rights", "reserved"])
+        names = names[:cut] + names[cut + 3 :]
+        joined = " ".join(names).lower()
+    is_year = lambda w: w.isdigit() and len(w) in (2, 4) or w.lower() in ("year", "yyyy", "present")
+    dated = bool(names) and (names[0][:4].isdigit() and len(names[0]) >= 4 or names[0].lower().startswith(("year", "yyyy")))
+    names = [w for w in names if not is_year(w)]
+    says = [w.lower() for w in names]
+    if ";" in line.replace("&copy;", ""):
+        return False
+    said = says[1:] if len(says) <= 3 and says[:1] and says[0] in licenses.NAMES else says
+    if set(said) & set(licenses.SAYS):
+        return False
+    if dated:
+        return True
+    first = [w for w in says if w not in licenses.JOINS][:1]
+    written = all(not w[0].islower() or not w[0].isascii() or w.lower() in licenses.JOINS + licenses.HOLDERS for w in names)
+    return bool(set(says) - set(licenses.JOINS)) and written and not set(first) & set(licenses.BODY)
+
+
+def test_lines_against_a_plain_twin(spark):
+    rnd = random.Random(6)
+    marks = ["Copyright", "copyright (c)", "(C)", "©", "Copyright ©", "(c) Copyright", "Portions Copyright", "Modifications are copyright (c)", " * Copyright", "Copyright by", "COPYRIGHT", "copyrighted", "A"]
+    parts = ["2020", "1999-2001", "Jane", "Doe", "the", "The", "Authors", "notice", "is", "may", "Will", "holders", "must", "of", "Élan", "jquery", "; fee", ".", ",", "All rights reserved", "Software", "and", "X"]
+    lines = [" ".join([rnd.choice(marks), *rnd.choices(parts, k=rnd.randint(0, 5))]) for _ in range(4000)] + HEADERS + ADDED + ["all rights reserved.", "", "(c)"]
+    lines = [x for x in lines if "@" not in x and "spdx" not in x.lower()]
+    df = spark.createDataFrame([(x,) for x in lines], "x string")
+    got = [r[0] for r in df.select(licenses.states_copyright(df["x"])).collect()]
+    wrong = [(x, g) for x, g in zip(lines, got) if g != plain_holder(x)]
+    assert not wrong, wrong[:10]
+    assert 500 < sum(got) < len(got) - 500
