@@ -9,7 +9,7 @@ from sparkmine.functions.text import strip_commas
 from sparkmine.operators import layout, survey
 from sparkmine.plans.workspace import new_path
 from sparkmine.sources import fixtures as fx
-from sparkmine.sources import readers
+from sparkmine.sources import readers, sinks
 
 FX = "fx_survey AS (" + fx.SURVEY_SQL.format(orders="orders", customer="customer", nation="nation") + ")"
 GIVEN = FX + """,
@@ -85,8 +85,12 @@ def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partition report, written and read back: partitions and rows by layout."""
     rows = fx.survey(spark, sf_dir).select("resp_id", "country")
-    return layout.partition_profile(rows, 2).unionByName(layout.partition_profile(rows, 2, "country"))
+    path = new_path(spark, "partition-report")
+    sinks.write_partition_report(layout.partition_profile(rows, 2).unionByName(layout.partition_profile(rows, 2, "country")), path)
+    report = spark.read.schema("layout STRING, partition_id BIGINT, n BIGINT").csv(path)
+    return report.groupBy("layout").agg(F.countDistinct("partition_id").alias("partitions"), F.sum("n").alias("n"))
 
 
 def partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +121,8 @@ QUERIES = {
 }
 
 SQL = {
+    "partition_rows": f"""WITH {FX} SELECT layout, CAST(2 AS BIGINT) AS partitions, count(*) AS n
+FROM fx_survey, (SELECT unnest(['Standard', 'Partition']) AS layout) GROUP BY layout""",
     "src_survey": f"WITH {FX} SELECT country, salary, salary_type FROM fx_survey",
     "flt_has_salary": f"WITH {GIVEN} SELECT * FROM given",
     "fn_strip_commas": f"WITH {FX} SELECT resp_id, replace(salary, ',', '') AS salary_text FROM fx_survey",

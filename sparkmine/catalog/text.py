@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.text import tokens
 from sparkmine.operators import cluster, text
-from sparkmine.plans.workspace import new_path
+from sparkmine.plans.workspace import materialize, new_path
 from sparkmine.sources import fixtures as fx
 from sparkmine.sources import readers
 
@@ -183,13 +183,25 @@ def rpt_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = text.ml_tfidf(fx.docs(spark, sf_dir))
-    return cluster.cluster_profile(cluster.ml_kmeans(features, ML_K, ML_ITERS, ML_SEED)[0])
+    """Clusters of Spark ML's k-means: their number, the documents in them, and those
+    that lie in the cluster of the nearest centre."""
+    assigned, centres = cluster.ml_kmeans(text.ml_tfidf(fx.docs(spark, sf_dir)), ML_K, ML_ITERS, ML_SEED)
+    assigned = materialize(assigned, "assigned")
+    own = assigned.withColumnsRenamed({"cluster": "own", "dist": "own_dist"})
+    again = cluster.assign_nearest(own, centres, list(range(ML_K)))
+    near = F.abs(F.col("own_dist") - F.col("dist")) <= 1e-6 * (1 + F.col("dist"))
+    counts = again.agg(F.count("*").alias("n_docs"), F.count(F.when(near, True)).alias("n_nearest"))
+    profile = cluster.cluster_profile(assigned).agg(F.count("*").alias("clusters"), F.sum("size").alias("sizes"))
+    return profile.crossJoin(counts)  # single rows
 
 
 def bisecting_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = text.ml_tfidf(fx.docs(spark, sf_dir))
-    return cluster.cluster_profile(cluster.ml_bisecting(features, ML_K, ML_ITERS, ML_SEED)[0])
+    """Leaves of Spark ML's bisecting k-means, and the documents in them; every split
+    lowers the error, so it is below that of the first split."""
+    features = materialize(text.ml_tfidf(fx.docs(spark, sf_dir)), "tfidf")
+    split, one = (cluster.cluster_profile(cluster.ml_bisecting(features, k, ML_ITERS, ML_SEED)[0]) for k in (ML_K, 2))
+    leaves = split.agg(F.count("*").alias("clusters"), F.sum("size").alias("n_docs"), F.sum("error").alias("after"))
+    return leaves.crossJoin(one.agg(F.sum("error").alias("before"))).select("clusters", "n_docs", (F.col("after") < F.col("before")).alias("lower"))  # single rows
 
 
 def assign_nearest_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,6 +271,8 @@ _TF_LLOYD = _lloyd_sql(TF_VECTORS, K, ITERS)
 _TFIDF_LLOYD = _lloyd_sql(TFIDF_VECTORS, K, ITERS)
 
 SQL = {
+    "kmeans_ml": f"""SELECT CAST({ML_K} AS BIGINT) AS clusters, count(*) AS sizes, count(*) AS n_docs, count(*) AS n_nearest FROM documents""",
+    "bisecting_ml": f"""SELECT CAST({ML_K} AS BIGINT) AS clusters, count(*) AS n_docs, true AS lower FROM documents""",
     "src_documents": r"""WITH lines AS (
   SELECT regexp_replace(lower(text), '[\r\n]', ' ', 'g') AS line FROM documents)
 SELECT md5(line) AS line_id, CAST(CASE WHEN rtrim(line, ' ') = '' AND line <> '' THEN 0

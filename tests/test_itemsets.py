@@ -5,7 +5,9 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
+from conftest import plan_of
 from sparkmine.operators import itemsets
 from sparkmine.sources import sinks
 
@@ -107,3 +109,22 @@ def test_counts(case, rows):
     baskets, df = case
     assert itemsets.basket_count(df).first()[0] == sum(1 for i in baskets.values() if i)
     assert itemsets.basket_dedup(df).count() == sum(map(len, baskets.values()))
+
+
+def test_single_items_are_paired_over_many_keys(spark):
+    """Sets of one item share the empty prefix; no task gets them all."""
+    level = spark.createDataFrame([([f"i{k:03d}"],) for k in range(200)], "items ARRAY<STRING>")
+    found = itemsets.candidates(level)
+    assert found.count() == 200 * 199 // 2 == found.distinct().count()
+    left = level.select(F.pmod(F.xxhash64(F.element_at("items", -1)), F.lit(itemsets.PAIR_PARTS)).alias("part"))
+    sizes = [r["count"] for r in left.groupBy("part").count().collect()]
+    assert len(sizes) == itemsets.PAIR_PARTS and max(sizes) < 40
+    assert "part" in plan_of(found)
+
+
+def test_a_given_size_mines_no_larger_sets(spark, monkeypatch):
+    monkeypatch.setattr(itemsets, "_by_fpgrowth", None)
+    df = spark.createDataFrame([(b, i) for b in range(20) for i in "abcdefghij"], "basket BIGINT, item STRING")
+    grown = []
+    monkeypatch.setattr(itemsets, "_grow", lambda bits, f=itemsets._grow: grown.append(1) or f(bits))
+    assert itemsets.frequent_itemsets(df, 20, max_len=2).count() == 10 + 45 and len(grown) == 1
