@@ -1,10 +1,13 @@
 """Words and word windows of many texts at once, as numpy arrays.
 
 Words are runs of bytes other than blank, tab, line feed, vertical tab, form
-feed and carriage return. A word's hash is a polynomial of its bytes modulo
+feed and carriage return. A short word's hash is a polynomial of its bytes modulo
 2^64, a window's one of its words' hashes; both are read off running sums, so
-a window costs the same whatever its length. Equal words have equal hashes;
-different ones differ but for a chance of about 2^-64 a pair.
+a window costs the same whatever its length. Such a polynomial is zero for some
+patterns of 1,024 terms and more, so words from ``LONG_WORD`` bytes on have the
+XXH3 hash of their bytes; windows are short. Equal words have equal hashes, and
+ordinary different ones differ but for a chance of about 2^-64 a pair; against
+words that are worked out to collide no fixed hash of 64 bits is proof.
 """
 
 from __future__ import annotations
@@ -14,8 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 1 << 20  # texts are taken together up to this many bytes
+LONG_WORD = 128
 
 # Odd multipliers of the polynomials and of the finishing steps.
 BYTE_BASE = 0x9E3779B97F4A7C15
@@ -69,6 +74,8 @@ class Words:
         self.starts, self.ends = np.flatnonzero(begin), np.flatnonzero(stop)
         self.bounds = np.searchsorted(self.starts, offsets)
         self.hashes = mix(_range_sums(data.astype(np.uint64) + np.uint64(1), BYTE_BASE, self.starts, self.ends))
+        for i in np.flatnonzero(self.ends - self.starts >= LONG_WORD).tolist():
+            self.hashes[i] = xxhash.xxh3_64_intdigest(data[self.starts[i] : self.ends[i]].tobytes())
 
     def __len__(self) -> int:
         return len(self.starts)

@@ -55,3 +55,13 @@ def test_edge_cases(spark, rows):
 
 def test_empty_table(spark):
     assert cleaned(spark, []).collect() == []
+
+
+def test_words_made_to_collide_stay(spark, rows):
+    """Windows that differ in one word of 1,024 letters, and a very long text."""
+    order = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = ("".join("ab"[b ^ flip] for b in order) for flip in (0, 1))
+    rest = " ".join(f"w{i}" for i in range(12))
+    docs = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} {rest}"), (4, " ".join(f"v{i}" for i in range(200_000))), (5, "v7 " * 100_000)]
+    got = rows(cleaned(spark, docs))
+    assert got == by_hand(docs) and [r[2] for r in got] == [0, 0, 13, 0, 0]

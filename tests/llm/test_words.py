@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from sparkmine.llm.words import chunks
+from sparkmine.llm.words import Words, chunks
 
 TEXTS = ["one two  three", None, "", " \t\n", "one", "two three one two three", "é\x0bü x", "end\n", "\x00 a\x00 a b"]
 
@@ -49,3 +49,15 @@ def test_sliced_array():
     whole = pa.array(["a b", "c d e", "f"])
     assert [len(w) for _, _, w in chunks(whole.slice(1, 2))] == [4]
     assert list(chunks(pa.array([], pa.string()))) == []
+
+
+def test_long_patterns_have_hashes_of_their_own():
+    """Words of 1,024 letters in the order for which every polynomial modulo 2^64 is
+    the same, and with a blank between the letters, as windows."""
+    order = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ flip] for b in order) for flip in (0, 1))
+    raw = f"{one} {other} {one}".encode()
+    held = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert held.hashes[0] == held.hashes[2] != held.hashes[1]
+    raw = " ".join(one[:1024] + "x" * k for k in range(3)).encode()
+    assert len(set(Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).hashes.tolist())) == 3
