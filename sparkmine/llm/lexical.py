@@ -22,7 +22,8 @@ block:
    commoner terms could give below. The child with the highest bound goes first,
    and a subtree goes as soon as its bound is below the score of the item's k-th
    document so far; equal bounds are followed, since a smaller id wins a tie.
-   Subtrees of up to ``LEAF`` documents are scored row by row.
+   Subtrees of up to ``LEAF`` documents are scored by document, those with the
+   highest bounds first and several at a time.
 4. The tasks' best ``k`` per item meet in a ranking that Spark cuts to ``k`` rows
    before the exchange. Their table is written and the block released before the
    next block is taken.
@@ -54,6 +55,7 @@ from sparkmine.plans.workspace import materialize
 BLOCK_TERMS = 500_000  # item terms, with repeats, in one block
 ENTRIES = 1 << 21  # counts of restricted documents that one set of trees holds
 LEAF = 32
+MOST_AT_ONCE = 1024  # documents of small subtrees scored together
 BANDS = 8  # bands of m per doubling
 
 # Bytes that end a term become blanks, A-Z become a-z.
@@ -256,11 +258,8 @@ class Search:
             if bounds.pop() < self.best.least:
                 continue
             if node >= 0:
-                doc, n = int(tree.doc[node]), int(tree.n_docs[node])
-                if n <= LEAF:
-                    self.score(tree, doc, doc + n)
-                    continue
-                self.score(tree, doc, doc + int(tree.ending[node]))
+                doc = int(tree.doc[node])
+                self.score(tree, np.arange(doc, doc + int(tree.ending[node])))
             kids = tree.children(node)
             term, m = tree.term[kids], tree.least_m[kids]
             paths = path + self.weight[term] * share(tree.most[kids], m)
@@ -271,22 +270,35 @@ class Search:
             total = paths + rest
             good = np.flatnonzero(total >= self.best.least)
             good = good[np.argsort(total[good], kind="stable")]
+            small = tree.n_docs[kids][good] <= LEAF
+            self.leaves(tree, good[small][::-1] + kids.start, total[good[small]][::-1])
+            good = good[~small]
             stack += zip(paths[good].tolist(), (good + kids.start).tolist())
             bounds += total[good].tolist()
 
-    def score(self, tree: Tree, first: int, last: int) -> None:
-        if first >= last:
+    def leaves(self, tree: Tree, nodes: np.ndarray, bounds: np.ndarray) -> None:
+        """Small subtrees by falling bound, ever more of them at a time, up to the
+        first whose bound is below the score to beat."""
+        at, some = 0, LEAF
+        while at < len(nodes) and bounds[at] >= self.best.least:
+            last = max(at + 1, int(np.searchsorted(np.cumsum(tree.n_docs[nodes[at : at + some]]), some, "right")) + at)
+            first, n = tree.doc[nodes[at:last]], tree.n_docs[nodes[at:last]]
+            self.score(tree, np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum())))
+            at, some = last, min(2 * some, MOST_AT_ONCE)
+
+    def score(self, tree: Tree, docs: np.ndarray) -> None:
+        if not len(docs):
             return
-        self.scored += last - first
-        lo, hi = int(tree.first[first]), int(tree.first[last])
-        sizes = np.diff(tree.first[first : last + 1])
-        weight = self.weight[tree.place[lo:hi]]
+        self.scored += len(docs)
+        first, sizes = tree.first[docs], tree.first[docs + 1] - tree.first[docs]
+        doc = np.repeat(np.arange(len(docs)), sizes)
+        entry = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(doc))
+        weight = self.weight[tree.place[entry]]
         held = np.flatnonzero(weight)
-        doc = np.repeat(np.arange(last - first), sizes)[held]
-        count = tree.count[lo:hi][held]
-        scores = np.zeros(last - first, np.int64)
-        np.add.at(scores, doc, weight[held] * share(count, tree.m[first + doc]))
-        self.best.offer(scores, tree.ids[first:last])
+        doc = doc[held]
+        scores = np.zeros(len(docs), np.int64)
+        np.add.at(scores, doc, weight[held] * share(tree.count[entry[held]], tree.m[docs[doc]]))
+        self.best.offer(scores, tree.ids[docs])
 
 
 NO_ID = -(1 << 63)  # a null id in the trees; before all others
