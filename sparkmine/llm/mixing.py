@@ -5,10 +5,11 @@ A source's target is its weight's share of all words, but at most ``MOST``
 times what it has; what that leaves over is dealt among the others by weight
 until none is above. Every document of a source is wanted ``target / size of
 the source`` times. The whole part is taken; the fractions are rounded by the
-pivotal method, in words: two partners exchange wanted words at random, both
-expectations kept, until one of them is whole. The partners are the largest
-open document of a block and all smaller ones of the block together (which
-gain or lose in proportion): paired one against one, the larger document would
+pivotal method, in words: two partners exchange wanted words at random, the
+expectation of both kept, until one of them is whole. The partners are the
+largest open document of a block and all smaller ones of the block together
+(which gain or lose in proportion; each of their own expectations is kept
+only where their fractions are equal): paired one against one, the larger document would
 nearly always stay open, and a source could miss its target by half of its
 longest text. A block has about ``FAN`` documents and leaves one open, mostly
 its smallest. These residuals meet in blocks of the next level, down to one a
