@@ -12,7 +12,7 @@ from sparkmine.operators import temporal
 from sparkmine.plans.workspace import new_path
 from sparkmine.sources import fixtures as fx
 from sparkmine.sources import readers
-from sparkmine.streaming import windows
+from sparkmine.streaming import visits, windows
 
 WINDOW_DAYS = 7
 DELAY = "2 days"
@@ -117,9 +117,21 @@ def stream_click_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.read_out(spark, path)
 
 
+def stream_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed visits of users, numbered, with the user's totals so far; three days without an event forget a user."""
+    path = new_path(spark, "visits")
+
+    def start(stream: Callable[[], DataFrame]) -> None:
+        cents = stream().withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+        visits.run_visits(visits.visits(cents, "user_id", "ts", "cents", DELAY), path, available_now=True).awaitTermination()
+
+    _arriving(spark, sf_dir, start)
+    return windows.read_out(spark, path)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (join_asof, join_asof_click, join_overlap, stream_tumbling, stream_late_rows, stream_sliding, stream_session, stream_click_purchase)
+    for f in (join_asof, join_asof_click, join_overlap, stream_tumbling, stream_late_rows, stream_sliding, stream_session, stream_click_purchase, stream_visits)
 }
 
 # Arrival, watermark at arrival (newest time of earlier parts less the delay), and what is late for a window.
@@ -167,6 +179,16 @@ numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS ses
 sessions AS (SELECT user_id, min(ts) AS s, max(ts) + INTERVAL 6 hours AS e, count(*) AS n, max(event_id) AS last_id FROM numbered GROUP BY user_id, session)
 SELECT epoch_us(s) AS start_us, epoch_us(e) AS end_us, user_id, n, last_id FROM sessions
 WHERE e <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {DELAY} FROM events)""",
+    "stream_visits": f"""WITH marked AS (
+  SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 6 hours, true)::INT AS fresh FROM events),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM marked),
+visits AS (SELECT user_id, min(ts) AS s, max(ts) AS e, count(*) AS n, sum(CAST(round(coalesce(value, 0) * 100) AS BIGINT)) AS total FROM numbered GROUP BY user_id, session),
+apart AS (SELECT *, coalesce(s - lag(e) OVER (PARTITION BY user_id ORDER BY s) >= INTERVAL 72 hours, true)::INT AS anew FROM visits),
+spells AS (SELECT *, sum(anew) OVER (PARTITION BY user_id ORDER BY s) AS spell FROM apart)
+SELECT user_id AS "user", row_number() OVER w AS visit, epoch_us(s) AS first_us, epoch_us(e) AS last_us, n, CAST(total AS BIGINT) AS total,
+  CAST(sum(n) OVER w AS BIGINT) AS n_so_far, CAST(sum(total) OVER w AS BIGINT) AS total_so_far
+FROM spells WHERE e + INTERVAL 6 hours <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {DELAY} FROM events)
+WINDOW w AS (PARTITION BY user_id, spell ORDER BY s)""",
     "stream_click_purchase": """SELECT c.event_id AS click_id, p.event_id AS purchase_id FROM events c JOIN events p USING (user_id)
 WHERE c.event_type = 'click' AND p.event_type = 'purchase' AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 60 minutes""",
 }

@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from sparkmine.streaming import visits, windows
+
+T0 = datetime(2024, 1, 1)
+MINUTE = 60_000_000
+EVENTS = "ts TIMESTAMP, user_id BIGINT, amount BIGINT"
+
+
+def brute(events, gap, forget, mark):
+    """One event after another, over all parts at once."""
+    out = []
+    for user in {u for t, u, _ in events if None not in (t, u)}:
+        spans = []
+        for t, a in sorted((t, a or 0) for t, u, a in events if u == user and t is not None):
+            if spans and t - spans[-1][1] < gap:
+                spans[-1] = (spans[-1][0], t, spans[-1][2] + 1, spans[-1][3] + a)
+            else:
+                spans.append((t, t, 1, a))
+        visit, n, total, last = 0, 0, 0, None
+        for s in spans:
+            if s[1] + gap > mark:
+                break
+            if last is None or s[0] - last >= forget:
+                visit, n, total = 0, 0, 0
+            visit, n, total, last = visit + 1, n + s[2], total + s[3], s[1]
+            out.append((user, visit, s[0], s[1], s[2], s[3], n, total))
+    return sorted(out)
+
+
+def test_visits_go_on_after_a_restart(spark, tmp_path):
+    """Unordered parts, a user with a third of the events, nulls; started again for each part."""
+    rnd = random.Random(4)
+    folder, path = str(tmp_path / "in"), str(tmp_path / "work")
+    parts = [[(rnd.randint(p * 600, p * 600 + 700), rnd.choice([1, 1, 2, 3, 4, None]), rnd.choice([None, 5, 7])) for _ in range(60)] for p in range(3)]
+    parts[1].append((None, 2, 9))
+    cores = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for part in parts:
+            rows = [(None if t is None else T0 + timedelta(minutes=t), u, a) for t, u, a in part]
+            spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(folder)
+            stream = spark.readStream.schema(EVENTS).parquet(folder)
+            found = visits.visits(stream, "user_id", "ts", "amount", "2 hours", 20 * MINUTE, 60 * MINUTE)
+            visits.run_visits(found, path, available_now=True).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", cores)
+    events = [e for part in parts for e in part]
+    zero = int((T0 - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+    minute = lambda us: (us - zero) // MINUTE
+    got = sorted((r[0], r[1], minute(r[2]), minute(r[3]), *r[4:]) for r in windows.read_out(spark, path).collect())
+    want = brute(events, 20, 60, max(t for t, u, _ in events if None not in (t, u)) - 120)
+    assert got == want and len(want) > 20 and max(w[1] for w in want) > 1
+    assert not spark.conf.get(visits.STORE).endswith("RocksDBStateStoreProvider")
+
+
+def test_spans_join_and_bridge():
+    spans = []
+    for new in [(0, 0, 1, 1), (100, 110, 2, 5), (50, 60, 1, 0), (10, 49, 3, 2), (119, 119, 1, 1)]:
+        visits.add_span(spans, new, 10)
+    assert spans == [(0, 0, 1, 1), (10, 60, 4, 2), (100, 119, 3, 6)]
+
+
+def test_forget_is_not_shorter_than_gap(spark):
+    with pytest.raises(ValueError):
+        visits.visits(spark.range(1), "id", "id", "id", "1 hour", 10, 5)
