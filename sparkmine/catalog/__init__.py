@@ -7,11 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmine.catalog import itemsets, ratings, stream, survey, temporal, text
+from sparkmine.catalog import cubes, itemsets, ratings, stream, survey, temporal, text
 from sparkmine.plans.workspace import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (survey, ratings, itemsets, text, stream, temporal)
+MODULES = (survey, ratings, itemsets, text, stream, temporal, cubes)
 
 
 def _configured(query: Query) -> Query:

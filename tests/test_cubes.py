@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+from itertools import combinations
+
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from sparkmine.operators import cubes
+
+ROWS = "a STRING, b STRING, v BIGINT"
+
+
+def make(spark, n):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["hot", "hot", "x", None]), rnd.choice(["p", "q", None]), rnd.choice([None, 1, 2, 5])) for _ in range(n)]
+    return rows, spark.createDataFrame(rows, ROWS)
+
+
+def totals(rows, sets):
+    """Every row into every set, one after another."""
+    n, v = Counter(), {}
+    for chosen in sets:
+        for a, b, x in rows:
+            key = (a if "a" in chosen else None, b if "b" in chosen else None, ("a" not in chosen) * 2 + ("b" not in chosen))
+            n[key] += 1
+            v[key] = v.get(key) if x is None else (v.get(key) or 0) + x
+    return sorted(((*k, v[k], c) for k, c in n.items()), key=repr)
+
+
+def test_cube_rollup_and_sets(spark, rows):
+    data, df = make(spark, 300)
+    dims, sums = {"a": F.col("a"), "b": F.col("b")}, {"s": F.col("v")}
+    every = [set(c) for k in range(3) for c in combinations("ab", k)]
+    cols = ["a", "b", "grouping", "s", "n"]
+    assert rows(cubes.cube(df, dims, sums), *cols) == totals(data, every)
+    assert rows(cubes.rollup(df, dims, sums), *cols) == totals(data, [{"a", "b"}, {"a"}, set()])
+    assert rows(cubes.grouping_sets(df, dims, [["b"], []], sums), *cols) == totals(data, [{"b"}, set()])
+
+
+def test_cube_reads_once_and_expands_groups_only(spark, tmp_path):
+    """The rows are summed before they are multiplied for the groupings."""
+    make(spark, 50)[1].write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(cubes.cube(df, {"a": F.col("a"), "b": F.col("b")}, {"s": F.col("v")}))
+    assert plan.count("FileScan") == 1
+    below = plan[plan.index("Expand"):]
+    assert "HashAggregate" in below and "Exchange" in below
+
+
+def test_cube_of_nothing(spark):
+    df = spark.createDataFrame([], ROWS)
+    found = cubes.cube(df, {"a": F.col("a")}, {"s": F.col("v")}).filter("grouping = 0")
+    assert found.count() == 0
+
+
+def test_sketches_of_parts_merge(spark):
+    """A hot group and repeated values; parts against exact values and against the whole."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("g"),
+        (F.col("id") % 7).alias("part"),
+        (F.col("id") * 37 % 5003).alias("d"),
+        F.when(F.col("id") % 11 > 0, F.col("id")).alias("x"),
+        F.when(F.col("id") % 5 == 0, "top").otherwise(F.concat(F.lit("i"), F.col("id") % 100)).alias("item"),
+    ).repartition(5)
+    parts = cubes.merged(cubes.sketched(df, ["g", "part"], "d", "x", "item"), ["g"])
+    whole = cubes.sketched(df, ["g"], "d", "x", "item")
+    got, one = ({r["g"]: r for r in cubes.estimates(s, [0.1, 0.5, 0.99], 1).collect()} for s in (parts, whole))
+    assert got["hot"]["n_distinct"] == one["hot"]["n_distinct"]
+    for g in ("hot", "cold"):
+        exact = df.filter(F.col("g") == g)
+        distinct = exact.select("d").distinct().count()
+        values = sorted(r[0] for r in exact.filter("x IS NOT NULL").select("x").collect())
+        for found in (got[g], one[g]):
+            assert abs(found["n_distinct"] - distinct) <= distinct * cubes.DISTINCT_ERROR
+            for q, v in zip([0.1, 0.5, 0.99], found["at_shares"]):
+                assert abs(sum(x <= v for x in values) - q * len(values)) <= cubes.RANK_ERROR * len(values) + 1
+            assert tuple(found["most"][0]) == ("top", exact.filter("item = 'top'").count())
+            assert found["n"] == exact.count()
+
+
+def test_sketches_of_nulls(spark):
+    df = spark.createDataFrame([("a", None, None, None)], "g STRING, d BIGINT, x BIGINT, item STRING")
+    found = cubes.estimates(cubes.merged(cubes.sketched(df, ["g"], "d", "x", "item"), ["g"]).select("g", "n", "distincts", "tops", "quantiles"), [], 1)
+    row = found.select("g", "n", "n_distinct").first()
+    assert tuple(row) == ("a", 1, 0)
