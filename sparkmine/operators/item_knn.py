@@ -9,11 +9,15 @@ drown the differences.
 How the work is kept in bounds without leaving a pair out:
 
 * A pair has a non-zero correlation only when at least two users rated both
-  items. Users with a history of up to ``light`` items write out their pairs,
-  at most ``light`` rows per rating, summed on the map side. A longer history
-  is never paired with itself as a whole: it is looked up for the pairs the
+  items. Users with a history of up to ``light`` items send each of their items
+  once, with the rest of the history packed beside it; the pairs are written
+  out and summed where all raters of the item have met. Items of more than
+  ``HOT_RATERS`` raters do not meet: what they share is sent pair by pair,
+  summed on the map side. A longer history is never paired with itself as a whole: it is looked up for the pairs the
   light users found, and paired only over items that a second long history
   holds too, in chunks of ``light`` items per task.
+* A test pair starts from the shorter of two lists: the correlated items of its
+  target, sent packed to the user, or the user's history.
 * Neighbours with zero correlation have no weight. They are counted, not
   listed: a user's history size minus the neighbours with weight tells how
   many places of the ranking they take.
@@ -33,6 +37,8 @@ NEIGHBOURS = 10
 DEFAULT_RATING = 3.0
 
 LIGHT_HISTORY = 1000
+HOT_RATERS = 20_000
+PAIRS_PER_TASK = 1 << 20
 # Zero is judged against the size of what was summed, so ratings of any scale
 # and offset behave alike.
 ROUNDING = 1e-11  # share of a sum of squares that rounding may leave of nothing
@@ -60,20 +66,21 @@ def _long_users(train: DataFrame, light: int) -> DataFrame:
     return histories(train).filter(F.col("history") > light).select("user_id", "history")
 
 
-def _marked(train: DataFrame, targets: DataFrame | None) -> DataFrame:
-    """Ratings that can matter, with a mark on those of target items. An item
-    with a single rater cannot have two co-raters with any other item."""
+def _marked(train: DataFrame, targets: DataFrame | None, hot: int) -> DataFrame:
+    """Ratings that can matter, with a mark on those of target items and on those
+    of items with more than ``hot`` raters. An item with a single rater cannot
+    have two co-raters with any other item."""
     raters = train.groupBy("item_id").agg(F.count("*").alias("raters"), F.floor(F.avg("rating")).alias("centre"))
-    raters = raters.filter("raters > 1").select("item_id", "centre")
+    raters = raters.filter("raters > 1").select("item_id", "centre", (F.col("raters") > hot).alias("hot"))
     if targets is None:
         items = raters.withColumn("wanted", F.lit(True))
     else:
         wanted = targets.select("item_id").distinct().withColumn("wanted", F.lit(True))
         items = raters.join(wanted, "item_id", "left").select(
-            "item_id", "centre", F.coalesce("wanted", F.lit(False)).alias("wanted")
+            "item_id", "centre", "hot", F.coalesce("wanted", F.lit(False)).alias("wanted")
         )
     rating = (F.col("rating") - F.col("centre")).alias("rating")
-    return train.select("user_id", "item_id", "rating").join(items, "item_id").select("user_id", "item_id", rating, "wanted")
+    return train.select("user_id", "item_id", "rating").join(items, "item_id").select("user_id", "item_id", rating, "wanted", "hot")
 
 
 def _pair_sums(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
@@ -94,6 +101,52 @@ def _pair_sums(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     )
 
 
+def _met_sums(rows: DataFrame) -> DataFrame:
+    """Sums over pairs that hold a target item which is not hot. A history sends
+    each such item with what comes after it: further ones, then all the others.
+    Parts grow in number with the pairs, so a task sums about as many at any size."""
+    leads = F.col("wanted") & ~F.col("hot")
+    packed = (
+        rows.filter(F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(
+            F.sort_array(F.collect_list(F.struct((~leads).alias("behind"), "item_id", "rating"))).alias("all"),
+            F.count(F.when(leads, True)).cast("int").alias("leading"),
+        )
+        .filter("leading > 0")
+    )
+    length = F.size("all").cast("bigint")
+    n_pairs = packed.agg(F.sum(F.col("leading") * length)).first()[0] or 0
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n_pairs // PAIRS_PER_TASK))
+    sent = packed.select(
+        F.explode(F.sequence(F.lit(1), "leading")).alias("at"),
+        F.col("all.item_id").alias("items"),
+        F.col("all.rating").alias("ratings"),
+    ).select(
+        F.get("items", F.col("at") - 1).alias("i"),
+        F.get("ratings", F.col("at") - 1).alias("x"),
+        *[F.slice(c, F.col("at") + 1, F.size(c)).alias(c) for c in ("items", "ratings")],
+    )
+    met = sent.repartition(parts, "i").select("i", "x", F.posexplode("items").alias("at", "j"), "ratings")
+    met = met.select("i", "x", "j", F.get("ratings", F.col("at")).alias("y"))
+    sums = met.filter("i <> j").groupBy("i", "j").agg(*_sums(F.col("x"), F.col("y")))
+    turned = {"sx": "sy", "sy": "sx", "sxx": "syy", "syy": "sxx"}
+    ordered = F.col("i") < F.col("j")
+    return sums.select(
+        F.least("i", "j").alias("item_a"),
+        F.greatest("i", "j").alias("item_b"),
+        *[F.when(ordered, F.col(c)).otherwise(F.col(turned.get(c, c))).alias(c) for c in SUMS],
+    )
+
+
+def _light_sums(rows: DataFrame) -> DataFrame:
+    met = _met_sums(rows)
+    if rows.filter("wanted AND hot").isEmpty():
+        return met
+    rest = rows.filter("hot OR NOT wanted")
+    return met.unionByName(_pair_sums(rest, rest, ["user_id"]))
+
+
 def _looked_up(wanted: DataFrame, rows: DataFrame) -> DataFrame:
     """What the long histories add to pairs that are already known. Each pair
     starts from the item fewer long histories hold."""
@@ -135,19 +188,18 @@ def _long_pairs(rows: DataFrame, light: int) -> DataFrame:
 
 
 def co_rating_sums(
-    train: DataFrame, light: int = LIGHT_HISTORY, targets: DataFrame | None = None
+    train: DataFrame, light: int = LIGHT_HISTORY, targets: DataFrame | None = None, hot: int = HOT_RATERS
 ) -> DataFrame:
     """Sums over the co-raters of every item pair with two or more of them;
     with ``targets`` only pairs that hold one of its items."""
-    rows = _marked(train, targets)
+    rows = materialize(_marked(train, targets, hot), "ratings")
     long_users = _long_users(train, light)
     if long_users.isEmpty():
-        return _pair_sums(rows, rows, ["user_id"]).filter("n > 1")
-    rows = materialize(rows, "ratings")
+        return _light_sums(rows).filter("n > 1")
     long_users = materialize(long_users.select("user_id"), "long-users")
     long_rows = rows.join(long_users, "user_id", "left_semi")
     light_rows = rows.join(long_users, "user_id", "left_anti")
-    light_sums = materialize(_pair_sums(light_rows, light_rows, ["user_id"]), "pairs")
+    light_sums = materialize(_light_sums(light_rows), "pairs")
     completed = _merge(light_sums.unionByName(_looked_up(light_sums, long_rows))).filter("n > 1")
     only_long = _long_pairs(long_rows, light).join(light_sums, ["item_a", "item_b"], "left_anti")
     return completed.unionByName(only_long)
@@ -202,7 +254,62 @@ def _best_first() -> list[Column]:
     return [F.desc("corr"), F.asc("neighbour")]
 
 
-def _light_neighbours(test: DataFrame, train: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+def _both_ways(weights: DataFrame) -> DataFrame:
+    turned = weights.filter("item_a <> item_b").select(
+        F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "corr"
+    )
+    return weights.unionByName(turned).select(
+        F.col("item_a").alias("item_id"), F.col("item_b").alias("neighbour"), "corr"
+    )
+
+
+def _light_neighbours(test: DataFrame, train: DataFrame, weights: DataFrame, k: int, light: int) -> DataFrame:
+    """Test pairs of users with histories of up to ``light`` items, each from the
+    shorter of its two lists."""
+    both = _both_ways(weights)
+    counts = materialize(both.groupBy("item_id").agg(F.count("*").alias("correlated")), "correlated")
+    asked = materialize(test.join(counts, "item_id"), "asked")
+    shorter = F.col("correlated") <= F.col("history")
+    few = counts.filter(F.col("correlated") <= light).select("item_id")
+    lists = both.join(few, "item_id", "left_semi").groupBy("item_id").agg(F.collect_list(F.struct("neighbour", "corr")).alias("listed"))
+    lists = lists.select("item_id", F.col("listed.neighbour").alias("near"), F.col("listed.corr").alias("corrs"))
+    from_item = _in_history(asked.filter(shorter).join(lists, "item_id"), train, k)
+    from_user = asked.filter(~shorter)
+    if from_user.isEmpty():
+        return from_item
+    return from_item.unionByName(_in_weights(from_user, train, weights, k).select(from_item.columns))
+
+
+def _in_history(test: DataFrame, train: DataFrame, k: int) -> DataFrame:
+    """The correlated items of each test pair that its user rated, matched and
+    ranked inside the row."""
+    users = test.select("user_id").distinct()
+    held = train.join(users, "user_id", "left_semi").groupBy("user_id").agg(F.collect_list(F.struct("item_id", "rating")).alias("held"))
+    held = held.select("user_id", F.col("held.item_id").alias("items"), F.col("held.rating").alias("ratings"))
+    shared = F.transform(
+        F.array_intersect("near", "items"),
+        lambda n: F.struct(
+            (-F.get("corrs", F.array_position("near", n).cast("int") - 1)).alias("minus"),
+            n.alias("neighbour"),
+            F.get("ratings", F.array_position("items", n).cast("int") - 1).alias("rating"),
+        ),
+    )
+    found = test.join(held, "user_id").select("user_id", "item_id", "history", F.sort_array(shared).alias("shared"))
+    return found.select(
+        "user_id", "item_id", "history", F.size("shared").cast("bigint").alias("weighted"), F.posexplode(F.slice("shared", 1, k)).alias("at", "row")
+    ).select(
+        "user_id",
+        "item_id",
+        F.col("row.neighbour").alias("neighbour"),
+        F.col("row.rating").alias("rating"),
+        (-F.col("row.minus")).alias("corr"),
+        (F.col("at") + 1).alias("place"),
+        "weighted",
+        "history",
+    )
+
+
+def _in_weights(test: DataFrame, train: DataFrame, weights: DataFrame, k: int) -> DataFrame:
     """Each test pair against the (bounded) history of its user."""
     history = train.select("user_id", F.col("item_id").alias("neighbour"), "rating")
     found = (
@@ -222,14 +329,8 @@ def _light_neighbours(test: DataFrame, train: DataFrame, weights: DataFrame, k:
 def _long_neighbours(test: DataFrame, train: DataFrame, weights: DataFrame, k: int) -> DataFrame:
     """Test pairs of users with long histories: start from the correlated
     items of the target and look the user's rating up."""
-    turned = weights.filter("item_a <> item_b").select(
-        F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "corr"
-    )
-    both = weights.unionByName(turned).select(
-        F.col("item_a").alias("item_id"), F.col("item_b").alias("neighbour"), "corr"
-    )
     history = train.select("user_id", F.col("item_id").alias("neighbour"), "rating")
-    found = test.join(both, "item_id").join(history, ["user_id", "neighbour"])
+    found = test.join(_both_ways(weights), "item_id").join(history, ["user_id", "neighbour"])
     found = materialize(found, "neighbours")
     counts = found.groupBy("user_id", "item_id").agg(F.count("*").alias("weighted"))
     best = top_k(found, ["user_id", "item_id"], _best_first(), k, "place")
@@ -250,9 +351,9 @@ def neighbours(
     items = train.select("item_id").distinct()
     pairs = test.select("user_id", "item_id").distinct()
     known = pairs.join(users, "user_id").join(items, "item_id", "left_semi")
-    weights = _weights(train, corr)
+    weights = materialize(_weights(train, corr), "weights")
     cols = ["user_id", "item_id", "neighbour", "rating", "corr", "place", "weighted", "history"]
-    found = _light_neighbours(known.filter(F.col("history") <= light), train, weights, k).select(cols)
+    found = _light_neighbours(known.filter(F.col("history") <= light), train, weights, k, light).select(cols)
     if not _long_users(train, light).isEmpty():
         long = _long_neighbours(known.filter(F.col("history") > light), train, weights, k)
         found = found.unionByName(long.select(cols))

@@ -199,3 +199,16 @@ def test_item_with_equal_fractional_ratings(spark):
     rows = [(u, i, 4.3 if i else 0.1 * (u % 7)) for u in range(5000) for i in (0, 1)]
     train = spark.createDataFrame(rows, "user_id INT, item_id INT, rating DOUBLE")
     assert [r.corr for r in item_knn.item_pearson(train).collect()] == [0.0]
+
+
+def test_pairs_meet_packed(case):
+    """Pairs are summed where the raters of an item meet, and none is sent there on its own."""
+    plan = plan_of(item_knn.co_rating_sums(case[2]))
+    assert "hashpartitioning(i#" in plan and "hashpartitioning(item_a" not in plan and "hashpartitioning(user_id#" in plan
+
+
+@pytest.mark.parametrize("hot, wanted", [(0, None), (3, None), (3, [2, 3, 5]), (0, [5])])
+def test_hot_items_are_summed_pair_by_pair(case, spark, hot, wanted):
+    targets = None if wanted is None else spark.createDataFrame([(i,) for i in wanted], "item_id BIGINT")
+    want = sorted(map(tuple, item_knn.co_rating_sums(case[2], targets=targets).collect()))
+    assert want and sorted(map(tuple, item_knn.co_rating_sums(case[2], targets=targets, hot=hot).collect())) == want
