@@ -152,8 +152,9 @@ def rpt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_actual_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test ratings beside their predictions."""
-    pred = materialize(_predicted(spark, sf_dir).select("user_id", "item_id", "prediction"), "predictions")
-    return ratings.join_predictions(_test(spark, sf_dir), pred).withColumn("prediction", F.round("prediction", 6))
+    test = _test(spark, sf_dir)
+    pred = item_knn.item_knn_predict(_train(spark, sf_dir), test).select("user_id", "item_id", "prediction")
+    return ratings.join_predictions(test, materialize(pred, "predictions")).withColumn("prediction", F.round("prediction", 6))
 
 
 def eval_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
