@@ -18,14 +18,18 @@ from sparkmine.functions.text import tokens
 from sparkmine.plans.workspace import materialize
 
 NUM_FEATURES = 1 << 20  # fixed value: width of the hashed vectors
+CHARS_PER_PART = 8 << 20  # text that one task turns into words
 BROADCAST_SLOTS = 1 << 22  # widest vectors whose slot weights are broadcast, 32 MiB
 
 
-def by_document(docs: DataFrame) -> DataFrame:
+def by_document(docs: DataFrame, chars: int = CHARS_PER_PART) -> DataFrame:
     """Documents dealt out by id while they are still one row each, which is
     less to move than the rows their words become. Later steps that group by
-    document and word find their rows in place."""
-    return docs.repartition("doc_id")
+    document and word find their rows in place, in parts that grow in number
+    with the text and not in size."""
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // chars))
+    return docs.repartition(parts, "doc_id")
 
 
 def tokenize(docs: DataFrame) -> DataFrame:

@@ -81,6 +81,13 @@ def test_words_in_place_after_dealing_by_document(docs):
     assert plan.count("Exchange") == 1
 
 
+def test_parts_grow_in_number_with_the_text(spark):
+    docs = spark.createDataFrame([(i, "a b c d e " * 10) for i in range(40)] + [(40, None)], "doc_id BIGINT, text STRING")
+    dealt = text.by_document(docs, chars=100)
+    assert dealt.rdd.getNumPartitions() == 40 and dealt.count() == 41
+    assert text.by_document(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_wide_vectors_are_weighted_by_join(docs, monkeypatch):
     narrow = {r.id: r for r in text.vectorize(docs, "tfidf").collect()}
     monkeypatch.setattr(text, "BROADCAST_SLOTS", 0)
