@@ -59,6 +59,46 @@ def test_visits_go_on_after_a_restart(spark, tmp_path):
     assert not spark.conf.get(visits.STORE).endswith("RocksDBStateStoreProvider")
 
 
+def test_state_is_touched_a_fixed_number_of_times():
+    """Fifty visits of a user in one batch: one read, one write and one timer, and the same when they close."""
+    calls, out = [], []
+
+    class Kept:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            calls.append("clear")
+            self.value = None
+
+    class Handle:
+        def getValueState(self, *_):
+            return Kept()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    class Mark:
+        def getCurrentWatermarkInMs(self):
+            return 10_000
+
+    held = visits.Visits(1000, 5000)
+    held.init(Handle())
+    list(held.handleInputRows((7,), iter({"first": i * 2000, "last": i * 2000 + 10, "n": 2, "total": 3} for i in range(50)), None))
+    assert sorted(calls) == ["get", "timer", "update"]
+    calls.clear()
+    out = list(held.handleExpiredTimer((7,), Mark(), None))
+    assert [r["visit"] for r in out] == list(range(1, 51)) and out[-1]["total_so_far"] == 150
+    assert sorted(calls) == ["clear", "get"]  # forgotten as well
+
+
 def test_spans_join_and_bridge():
     spans = []
     for new in [(0, 0, 1, 1), (100, 110, 2, 5), (50, 60, 1, 0), (10, 49, 3, 2), (119, 119, 1, 1)]:
